@@ -53,8 +53,7 @@ def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = Non
         shots = F.coalesce(F.col("shots"), F.lit(0))
     else:
         joined = test
-        one = prefixes(dev, [])
-        prefix = one.select("prefix").scalar()
-        shots = one.select("shots").scalar()
+        one = prefixes(dev, []).select(F.struct("prefix", "shots")).scalar()
+        prefix, shots = one["prefix"], one["shots"]
     question = _item(shots + 1, {c: F.col(c) for c in ("question", *fixed.LETTERS)})
     return joined.select(*[joined[c] for c in test.columns], F.concat(prefix, question).alias("prompt"))

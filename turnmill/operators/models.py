@@ -101,7 +101,7 @@ def embed(
     model = predict_batch_udf(
         factories[kind], return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
     )
-    return df.withColumn(name, l2_normalize(model(F.col(column))))
+    return df.withColumn(name, model(F.col(column))).withColumn(name, l2_normalize(F.col(name)))
 
 
 def score(

@@ -40,7 +40,7 @@ def session_history(log: DataFrame, seq: str = "seq", idle: str | None = None) -
     ready = classify(log).withColumn("message", tx.py_strip(F.col("text")))
     columns = ["session", seq, "kind", "kept", F.length("message").alias("_length"), "message"]
     if idle is not None:
-        columns.append(F.col("ts").cast("timestamp").alias("ts"))
+        columns.append("ts")
         ready = ready.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", idle)
     source = log.schema
     output = T.StructType(
