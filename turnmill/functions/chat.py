@@ -149,16 +149,11 @@ def pair_list_chats(prompts: Column, completions: Column) -> Column:
     )
 
 
-def parse_tool_calls(text: Column) -> Column:
-    """Tool calls written in an assistant text: name, arguments as JSON text, valid flag."""
-    found = F.regexp_extract_all(text, F.lit(_CALL_PATTERN), F.lit(1))
-
-    def read(body: Column) -> Column:
-        valid = F.try_parse_json(body).isNotNull()
-        return F.struct(
-            F.when(valid, F.get_json_object(body, "$.name")).alias("name"),
-            F.when(valid, F.get_json_object(body, "$.arguments")).alias("arguments"),
-            valid.alias("valid"),
-        )
+def tool_call_bodies(text: Column) -> Column:
+    """The JSON texts of the tool calls written in an assistant text."""
+    return F.regexp_extract_all(text, F.lit(_CALL_PATTERN), F.lit(1))
+
 
-    return F.transform(found, read)
+def read_tool_call(body: Column) -> Column:
+    """Name, arguments as JSON text, and the body itself where it is not readable JSON."""
+    return F.from_json(body, "name string, arguments string, _corrupt_record string")

@@ -51,20 +51,21 @@ def preview(text: Column, limit: int = fixed.PREVIEW_CHARS) -> Column:
 
 def words(text: Column) -> Column:
     """White-space separated words; a blank text has none."""
-    return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
+    return F.array_remove(F.split(py_strip(text), f"{SPACE_CLASS}+"), "")
 
 
 def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
-def keep_first_words(text: Column, budget: int) -> Column:
-    return F.array_join(F.slice(words(text), 1, budget), " ")
+def first_of(parts: Column, budget: int) -> Column:
+    """The left end of a list of words, as text."""
+    return F.array_join(F.slice(parts, 1, budget), " ")
 
 
-def keep_last_words(text: Column, budget: int) -> Column:
-    w = words(text)
-    return F.array_join(F.slice(w, F.greatest(F.size(w) - budget, F.lit(0)) + 1, budget), " ")
+def last_of(parts: Column, budget: int) -> Column:
+    """The right end of a list of words, as text."""
+    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - budget, F.lit(0)) + 1, budget), " ")
 
 
 def extract_answer(response: Column) -> Column:

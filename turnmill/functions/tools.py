@@ -60,38 +60,47 @@ def status_text(status: Column, other: str) -> Column:
     )
 
 
-def city_name(city_json: Column) -> Column:
+# Fields of the service responses. Numbers stay as they are written in the JSON.
+_READING = (
+    "main: struct<temp: string, feels_like: string, humidity: string>, "
+    "weather: array<struct<description: string>>, dt_txt: string"
+)
+WEATHER = f"struct<{_READING}, list: array<struct<{_READING}>>>"
+CITIES = "array<struct<name: string, country: string, local_names: map<string, string>>>"
+
+
+def city_name(city: Column) -> Column:
     """The Chinese name if there is one, else the plain name."""
-    return F.coalesce(F.get_json_object(city_json, "$.local_names.zh"), F.get_json_object(city_json, "$.name"))
+    return F.coalesce(F.try_element_at(city["local_names"], F.lit("zh")), city["name"])
 
 
-def city_country(city_json: Column) -> Column:
-    return F.coalesce(F.get_json_object(city_json, "$.country"), F.lit(""))
+def city_country(city: Column) -> Column:
+    return F.coalesce(city["country"], F.lit(""))
 
 
 def _readings(point: Column) -> list[Column]:
-    """Description, temperature, felt temperature, humidity; numbers as written in the JSON."""
-    paths = ("$.weather[0].description", "$.main.temp", "$.main.feels_like", "$.main.humidity")
-    return [F.get_json_object(point, path) for path in paths]
+    main = point["main"]
+    return [F.get(point["weather"], F.lit(0))["description"], main["temp"], main["feels_like"], main["humidity"]]
 
 
-def forecast_point(body: Column, days: Column) -> Column:
-    """The entry ``min(8 * days, last)`` of a forecast list, as JSON text."""
-    points = F.from_json(F.get_json_object(body, "$.list"), "array<string>")
+def forecast_point(points: Column, days: Column) -> Column:
+    """The entry ``min(8 * days, last)`` of a forecast list."""
     return F.get(points, F.least(days * fixed.POINTS_PER_DAY, F.size(points) - 1))
 
 
 def weather_text(
-    location: Column, days: Column, geo_status: Column, geo_body: Column, status: Column, body: Column
+    location: Column,
+    days: Column,
+    geo_status: Column,
+    city: Column,
+    status: Column,
+    now: Column,
+    point: Column,
 ) -> Column:
-    """What the weather tool answers for landed geocoding and weather responses."""
-    city = F.get(F.from_json(geo_body, "array<string>"), F.lit(0))
+    """What the weather tool answers for parsed geocoding and weather responses."""
     place = (city_name(city), city_country(city))
-    point = forecast_point(body, days)
-    current = F.format_string(fixed.CURRENT_TEXT, *place, *_readings(body))
-    forecast = F.format_string(
-        fixed.FORECAST_TEXT, *place, F.get_json_object(point, "$.dt_txt"), *_readings(point)
-    )
+    current = F.format_string(fixed.CURRENT_TEXT, *place, *_readings(now))
+    forecast = F.format_string(fixed.FORECAST_TEXT, *place, point["dt_txt"], *_readings(point))
     return (
         F.when(~days_ok(days), fixed.BAD_DAYS)
         .when(geo_status != 200, status_text(geo_status, fixed.GEO_STATUS))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 BLOCK = "_block"
@@ -26,7 +26,7 @@ class Blocked:
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    several: DataFrame
+    several: DataFrame | None  # None: no key has more than one block
 
     def with_rows(self, rows: DataFrame) -> Blocked:
         return replace(self, rows=rows)
@@ -57,11 +57,15 @@ def time_slot(ts: Column, unit: str = "hour") -> Column:
     return {"hour": hour, "minute": hour * 60 + F.minute(ts)}[unit]
 
 
-def heavy_keys(df: DataFrame, keys: list[str], share: float, min_rows: int) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: fewer than ``1 / share`` of them."""
+def heavy_keys(df: DataFrame, keys: list[str], share: float, min_rows: int) -> list[Row]:
+    """Keys holding more than ``share`` of all rows: fewer than ``1 / share`` of them.
+
+    That bound holds for any data, so they can be brought to the driver. Counting reads
+    the key columns alone and combines before its shuffle.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(float(min_rows))).alias("_l"))
-    return counts.where(F.col("_n") > limit.scalar()).select(*keys)
+    return counts.where(F.col("_n") > limit.scalar()).select(*keys).collect()
 
 
 def by_heavy_key(
@@ -75,15 +79,16 @@ def by_heavy_key(
 ) -> Blocked:
     """Blocks along ``slot`` for heavy keys, one block for every other key.
 
-    ``slot`` must not decrease along ``order``. The broadcast side has fewer than
-    ``1 / share`` rows whatever the size of the data.
+    ``slot`` must not decrease along ``order``.
     """
     heavy = heavy_keys(df, keys, share, min_rows)
-    marked = df.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), keys, "left")
-    rows = marked.withColumn(
-        BLOCK, F.when(F.col("_heavy"), slot.cast("long")).otherwise(F.lit(0).cast("long"))
-    ).drop("_heavy")
-    return Blocked(rows, tuple(keys), tuple(order), F.broadcast(heavy))
+    if not heavy:
+        return Blocked(df.withColumn(BLOCK, F.lit(0).cast("long")), tuple(keys), tuple(order), None)
+    schema = df.select(*keys).schema
+    several = F.broadcast(df.sparkSession.createDataFrame(heavy, schema))
+    marked = df.join(several.withColumn("_heavy", F.lit(True)), keys, "left")
+    block = F.when(F.col("_heavy"), slot.cast("long")).otherwise(F.lit(0).cast("long"))
+    return Blocked(marked.withColumn(BLOCK, block).drop("_heavy"), tuple(keys), tuple(order), several)
 
 
 _FOLDS = {
@@ -105,6 +110,13 @@ def running(blocked: Blocked, columns: dict[str, tuple[str, Column]]) -> Blocked
         .orderBy(BLOCK)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    names = blocked.rows.columns
+    if blocked.several is None:
+        return blocked.with_rows(
+            blocked.rows.select(
+                "*", *[_FOLDS[fold][0](value).over(so_far).alias(n) for n, (fold, value) in columns.items()]
+            )
+        )
     totals = (
         blocked.split_rows()
         .groupBy(*keys)
@@ -119,7 +131,6 @@ def running(blocked: Blocked, columns: dict[str, tuple[str, Column]]) -> Blocked
         *[_FOLDS[fold][0](value).over(so_far).alias(f"_h_{n}") for n, (fold, value) in columns.items()],
     )
     joined = here.join(before, keys, "left")
-    names = blocked.rows.columns
     return blocked.with_rows(
         joined.select(
             *names,
@@ -137,6 +148,12 @@ def neighbours(blocked: Blocked, column: str) -> Blocked:
     value = F.struct(F.col(column).alias("value"))
     place = F.struct(*blocked.order)
     blocks = Window.partitionBy(*blocked.keys).orderBy(BLOCK)
+    window = blocked.window()
+    here = blocked.rows.select(
+        "*", F.lag(value).over(window).alias("previous"), F.lead(value).over(window).alias("following")
+    )
+    if blocked.several is None:
+        return blocked.with_rows(here)
     edges = (
         blocked.split_rows()
         .groupBy(*keys)
@@ -147,15 +164,10 @@ def neighbours(blocked: Blocked, column: str) -> Blocked:
             F.lead("_first").over(blocks).alias("_right"),
         )
     )
-    window = blocked.window()
-    here = blocked.rows.select(
-        "*", F.lag(value).over(window).alias("_lag"), F.lead(value).over(window).alias("_lead")
-    )
-    names = blocked.rows.columns
     return blocked.with_rows(
         here.join(edges, keys, "left").select(
-            *names,
-            F.coalesce("_lag", "_left").alias("previous"),
-            F.coalesce("_lead", "_right").alias("following"),
+            *blocked.rows.columns,
+            F.coalesce("previous", "_left").alias("previous"),
+            F.coalesce("following", "_right").alias("following"),
         )
     )

@@ -90,14 +90,15 @@ def with_length(
 
 def apply_budgets(df: DataFrame, column: str = "text") -> DataFrame:
     """Word-budgeted texts: training rows keep the left end, prompts the right end."""
-    text = F.col(column)
-    return with_length(df, column).select(
-        "*",
-        (F.col("n_tokens") > fixed.SFT_BUDGET).alias("over_sft"),
-        (F.col("n_tokens") > fixed.RL_PROMPT_BUDGET).alias("over_prompt"),
-        tx.keep_first_words(text, fixed.SFT_BUDGET).alias("sft_text"),
-        tx.keep_last_words(text, fixed.RL_PROMPT_BUDGET).alias("prompt_text"),
-        tx.keep_first_words(text, fixed.RL_COMPLETION_BUDGET).alias("completion_text"),
+    parts = F.col("_words")
+    return df.withColumn("_words", tx.words(F.col(column))).select(
+        *df.columns,
+        F.size(parts).alias("n_tokens"),
+        (F.size(parts) > fixed.SFT_BUDGET).alias("over_sft"),
+        (F.size(parts) > fixed.RL_PROMPT_BUDGET).alias("over_prompt"),
+        tx.first_of(parts, fixed.SFT_BUDGET).alias("sft_text"),
+        tx.last_of(parts, fixed.RL_PROMPT_BUDGET).alias("prompt_text"),
+        tx.first_of(parts, fixed.RL_COMPLETION_BUDGET).alias("completion_text"),
     )
 
 

@@ -31,32 +31,33 @@ def segments(
     around = neighbours(by_number(messages, ["conv_id"], "turn", turns_per_part), "role")
     content = F.coalesce(F.col("text"), F.lit(""))
     calls = F.col("tool_calls") if "tool_calls" in messages.columns else None
-    first = F.col("previous").isNull()
+    # What a message says is written out once, in a column of its own.
+    said = F.when(F.col("role") == "assistant", chat.assistant_body(content, calls)).otherwise(content)
+    staged = around.rows.withColumn("_said", said)
     lead = chat.segment(
         F.col("role"),
-        content,
-        calls,
-        first=first,
+        F.col("_said"),
+        None,
+        first=F.col("previous").isNull(),
         last=F.col("following").isNull(),
         after_tool=F.col("previous.value").eqNullSafe("tool"),
         before_tool=F.col("following.value").eqNullSafe("tool"),
         tools=chat.tool_list(tools),
         generation_prompt=generation_prompt,
     )
-    body = chat.assistant_body(content, calls)
     trained = F.col("role") == "assistant"
     close = F.length(F.lit(fixed.TURN_CLOSE)) + (
         F.when(F.col("following").isNull(), len(fixed.ASSISTANT_OPEN)).otherwise(0)
         if generation_prompt
         else F.lit(0)
     )
-    rows = around.rows.select(
+    rows = staged.select(
         "conv_id",
         "turn",
         "role",
         BLOCK,
         lead.alias("segment"),
-        F.when(trained, F.length(body)).otherwise(0).cast("long").alias("trained_chars"),
+        F.when(trained, F.length("_said")).otherwise(0).cast("long").alias("trained_chars"),
         close.alias("_close"),
     ).select(
         "conv_id",

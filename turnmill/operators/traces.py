@@ -25,14 +25,15 @@ def parsed_calls(messages: DataFrame) -> DataFrame:
     """Tool calls read back from rendered assistant texts; unreadable ones have ``valid`` false."""
     return (
         messages.where((F.col("role") == "assistant") & F.col("text").contains("<tool_call>"))
-        .select("conv_id", "turn", F.posexplode(chat.parse_tool_calls(F.col("text"))).alias("call_no", "_call"))
+        .select("conv_id", "turn", F.posexplode(chat.tool_call_bodies(F.col("text"))).alias("call_no", "_body"))
+        .withColumn("_call", chat.read_tool_call(F.col("_body")))
         .select(
             "conv_id",
             "turn",
             "call_no",
             F.col("_call.name").alias("tool"),
             F.col("_call.arguments").alias("arguments"),
-            F.col("_call.valid").alias("valid"),
+            F.col("_call._corrupt_record").isNull().alias("valid"),
         )
     )
 
@@ -112,13 +113,19 @@ def weather(payloads: DataFrame) -> DataFrame:
     """Landed tool payloads to answers.
 
     Expects ``location, forecast_days, geo_status, geo_body, status, body``; adds the text
-    and its outcome, and whether the request was valid at all.
+    and its outcome. Each JSON text is parsed once, into declared fields.
     """
-    named = [F.col(c) for c in ("location", "forecast_days", "geo_status", "geo_body", "status", "body")]
-    text = tools.weather_text(*named)
-    return payloads.withColumn("answer", text).withColumn(
-        "outcome",
-        F.when(~tools.days_ok(F.col("forecast_days")), "rejected")
+    days = F.col("forecast_days")
+    parsed = payloads.withColumn(
+        "_city", F.get(F.from_json("geo_body", tools.CITIES), F.lit(0))
+    ).withColumn("_weather", F.from_json("body", tools.WEATHER))
+    placed = parsed.withColumn("_point", tools.forecast_point(F.col("_weather.list"), days))
+    text = tools.weather_text(
+        F.col("location"), days, F.col("geo_status"), F.col("_city"), F.col("status"), F.col("_weather"), F.col("_point")
+    )
+    outcome = (
+        F.when(~tools.days_ok(days), "rejected")
         .when(F.col("geo_status") != 200, tools.status_outcome(F.col("geo_status")))
-        .otherwise(tools.status_outcome(F.col("status"))),
+        .otherwise(tools.status_outcome(F.col("status")))
     )
+    return placed.select(*payloads.columns, text.alias("answer"), outcome.alias("outcome"))

@@ -39,8 +39,13 @@ def clean_metadata_json(metadata: Column) -> Column:
 def l2_normalize(vector: Column) -> Column:
     """Scale to unit length in double precision; a zero vector stays as it is."""
     wide = vector.cast("array<double>")
-    norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm)).otherwise(wide)
+    return F.aggregate(
+        wide,
+        F.lit(0.0),
+        lambda total, x: total + x * x,
+        # The sum is worked out once and then used for every element.
+        lambda total: F.when(total > 0, F.transform(wide, lambda x: x / F.sqrt(total))).otherwise(wide),
+    )
 
 
 def latest(batch: DataFrame, key: str, order: str | None) -> DataFrame:
