@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from turnmill.operators import blocks, grading, history, split, traces, vectors
+from turnmill.operators import blocks, corpus, grading, history, joins, split, traces, vectors
 from turnmill.plans import inputs
 from turnmill.plans.sessions import ORDER
 
@@ -115,8 +115,37 @@ def test_searches_equal_brute_force(spark, copies):
     queries, members, want = vector_tables(spark, copies)
     assert found_rows(vectors.top_k(queries, members)) == want
     assert found_rows(vectors.top_k(queries, members, broadcast_bytes=64, cells=6)) == want
-    assert found_rows(vectors.top_k_cells(queries, members, cells=9, rows_per_block=4)) == want
-    assert found_rows(vectors.top_k_approx(queries, members, cells=8, probes=8, rows_per_block=16)) == want
+    assert found_rows(vectors.top_k_cells(queries, members, cells=9, queries_per_block=4, members_per_block=3)) == want
+    assert found_rows(vectors.top_k_approx(queries, members, cells=8, probes=8, members_per_block=16)) == want
+
+
+def test_copies_as_heavy_queries(spark):
+    queries, members, want = vector_tables(spark, 50)
+    assert found_rows(vectors.top_k_cells(queries, members, cells=4, share=0.1, min_rows=2)) == want
+
+
+def test_pivots_of_large_collection(spark):
+    _, members, _ = vector_tables(spark, 1)
+    assert (vectors.pivots(members, 1) == vectors.pivots(members, 120)[:1]).all()  # filtered, not filtered
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_of_heavy_groups(spark, how):
+    rows = spark.range(300).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    groups = spark.range(200).where("id <> 9").select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    plain = joins.join_groups(rows, groups, ["k"], how)
+    split_up = joins.join_groups(rows, groups, ["k"], how, share=0.1, min_rows=5)
+    assert rows_of(split_up.select("k", "id", "v")) == rows_of(plain.select("k", "id", "v"))
+
+
+def test_heavy_prompts_and_pairs(spark):
+    chats = inputs.table(spark, FOLDER, "conversations")
+    limits = {"share": 0.01, "min_rows": 1}
+    assert rows_of(corpus.reward_pairs(chats, **limits)) == rows_of(corpus.reward_pairs(chats))
+    rewards = spark.range(400).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("prompt_id"), F.col("id").cast("double").alias("reward")
+    )
+    assert rows_of(corpus.group_advantage(rewards, **limits)) == rows_of(corpus.group_advantage(rewards))
 
 
 def test_search_of_few_members(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnmill import fixed
 from turnmill.functions import text as tx
+from turnmill.operators.joins import join_groups
 from turnmill.operators.rendering import TURNS_PER_PART
 
 
@@ -107,24 +108,24 @@ def rollout_plan(prompt_rows: DataFrame, samples: int = fixed.COMPLETIONS_PER_PR
     return prompt_rows.withColumn("sample_id", F.explode(F.sequence(F.lit(1), F.lit(samples))))
 
 
-def reward_pairs(messages: DataFrame) -> DataFrame:
+def reward_pairs(messages: DataFrame, **limits) -> DataFrame:
     """Every assistant turn with the prompt of its conversation."""
     completions = messages.where(F.col("role") == "assistant").select(
         "conv_id", "turn", F.col("text").alias("completion")
     )
-    return completions.join(prompts(messages), "conv_id")
+    return join_groups(completions, prompts(messages), ["conv_id"], **limits)
 
 
-def group_advantage(rewards: DataFrame, eps: float = 1e-4) -> DataFrame:
+def group_advantage(rewards: DataFrame, eps: float = 1e-4, **limits) -> DataFrame:
     """Reward relative to its prompt's group: ``(r - mean) / (std + eps)``.
 
-    Group statistics are a partial aggregate joined back, so a prompt with very many
-    rows is split by the join instead of being gathered by a window.
+    Group statistics are a partial aggregate joined back, so the rows of a prompt are
+    never gathered in one task as a window would do.
     """
     stats = rewards.groupBy("prompt_id").agg(
         F.avg("reward").alias("group_mean"),
         F.coalesce(F.stddev_samp("reward"), F.lit(0.0)).alias("group_std"),
     )
-    return rewards.join(stats, "prompt_id").withColumn(
+    return join_groups(rewards, stats, ["prompt_id"], **limits).withColumn(
         "advantage", (F.col("reward") - F.col("group_mean")) / (F.col("group_std") + F.lit(eps))
     )

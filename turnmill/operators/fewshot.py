@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnmill import fixed
+from turnmill.operators.joins import join_groups
 
 
 def _item(number: Column, item) -> Column:
@@ -40,7 +41,7 @@ def prefixes(dev: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = None) -> DataFrame:
+def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = None, **limits) -> DataFrame:
     """Add ``prompt`` to the test items.
 
     With ``by`` (such as the subject) items meet the prefix of their own group by an
@@ -48,7 +49,7 @@ def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = Non
     it the single prefix is computed once and used as a constant.
     """
     if by:
-        joined = test.join(prefixes(dev, by), by, "left")
+        joined = join_groups(test, prefixes(dev, by), by, "left", **limits)
         prefix = F.coalesce(F.col("prefix"), F.lit(fixed.EXAM_INSTRUCTION))
         shots = F.coalesce(F.col("shots"), F.lit(0))
     else:
@@ -56,4 +57,4 @@ def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = Non
         one = prefixes(dev, []).select(F.struct("prefix", "shots")).scalar()
         prefix, shots = one["prefix"], one["shots"]
     question = _item(shots + 1, {c: F.col(c) for c in ("question", *fixed.LETTERS)})
-    return joined.select(*[joined[c] for c in test.columns], F.concat(prefix, question).alias("prompt"))
+    return joined.select(*test.columns, F.concat(prefix, question).alias("prompt"))

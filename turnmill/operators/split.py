@@ -24,15 +24,23 @@ def _cut(ids: DataFrame, key: str, share: float) -> DataFrame:
     placed = ids.withColumn("_bucket", bucket)
     counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # At most 65,536 count rows, so one task may order them.
-    upto = counts.select("_bucket", "_n", F.sum("_n").over(Window.orderBy("_bucket")).alias("_upto"))
-    wanted = counts.agg(F.ceil(F.lit(share) * F.sum("_n").cast("double")).alias("_w")).scalar()
-    edge = upto.where(F.col("_upto") >= wanted).agg(F.min("_bucket")).scalar()
-    left = upto.where(F.col("_bucket") == edge).agg(F.max(wanted - F.col("_upto") + F.col("_n"))).scalar()
+    ordered = Window.orderBy("_bucket")
+    everything = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = counts.select(
+        "_bucket", "_n", F.sum("_n").over(ordered).alias("_upto"), F.sum("_n").over(everything).alias("_all")
+    )
+    wanted = F.ceil(F.lit(share) * F.col("_all").cast("double"))
+    left = (wanted - F.col("_upto") + F.col("_n")).alias("left")
+    edge = (
+        upto.where(F.col("_upto") >= wanted)
+        .agg(F.min(F.struct(F.col("_bucket").alias("bucket"), left)).alias("_edge"))
+        .scalar()
+    )
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
     return (
-        placed.where(F.col("_bucket") == edge)
+        placed.where(F.col("_bucket") == edge["bucket"])
         .withColumn("_rank", rank)
-        .where(F.col("_rank") <= left)
+        .where(F.col("_rank") <= edge["left"])
         .agg(F.max(F.struct("_hash", key)).alias("_cut"))
     )
 

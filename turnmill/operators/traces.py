@@ -116,9 +116,12 @@ def weather(payloads: DataFrame) -> DataFrame:
     and its outcome. Each JSON text is parsed once, into declared fields.
     """
     days = F.col("forecast_days")
-    parsed = payloads.withColumn(
-        "_city", F.get(F.from_json("geo_body", tools.CITIES), F.lit(0))
-    ).withColumn("_weather", F.from_json("body", tools.WEATHER))
+    found = tools.days_ok(days) & (F.col("geo_status") == 200)
+    cities = F.from_json(F.when(found, F.col("geo_body")), tools.CITIES)
+    weather_body = F.when(found & (F.col("status") == 200), F.col("body"))
+    parsed = payloads.withColumn("_city", F.get(cities, F.lit(0))).withColumn(
+        "_weather", F.from_json(weather_body, tools.WEATHER)
+    )
     placed = parsed.withColumn("_point", tools.forecast_point(F.col("_weather.list"), days))
     text = tools.weather_text(
         F.col("location"), days, F.col("geo_status"), F.col("_city"), F.col("status"), F.col("_weather"), F.col("_point")

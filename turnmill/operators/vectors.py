@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from turnmill import fixed
 from turnmill.functions import text as tx
+from turnmill.operators.joins import join_groups
 from turnmill.session import shared_dir
 
 METADATA = "map<string,string>"
@@ -64,7 +65,8 @@ def latest(batch: DataFrame, key: str, order: str | None) -> DataFrame:
 def upsert(collection: DataFrame, batch: DataFrame, key: str = "chunk_id", order: str | None = None) -> DataFrame:
     """The collection with the rows of ``batch`` put in the place of those with the same key."""
     new = latest(batch, key, order).select(*collection.columns)
-    return collection.join(new, key, "left_anti").select(*collection.columns).unionByName(new)
+    kept = collection.join(batch.select(key), key, "left_anti")  # only the ids of the batch travel
+    return kept.select(*collection.columns).unionByName(new)
 
 
 # Nearest neighbours ----------------------------------------------------------------------
@@ -192,18 +194,22 @@ def top_k(
 
 
 def pivots(collection: DataFrame, cells: int) -> np.ndarray:
-    """``cells`` vectors of the collection, picked by the hash of their id.
+    """``cells`` vectors of the collection: those whose ids have the smallest hashes.
 
-    This small matrix, bounded by ``cells``, is the only thing brought to the driver.
+    This small matrix, bounded by ``cells``, is the only thing brought to the driver. In a
+    large collection rows with a large hash are filtered out before anything is sorted.
     """
-    picked = (
-        collection.where(F.col("embedding").isNotNull())
-        .select(F.md5(F.col("chunk_id").cast("string")).alias("_hash"), "chunk_id", "embedding")
-        .orderBy("_hash", "chunk_id")
-        .limit(cells)
-        .toArrow()
-    )
-    return _matrix(picked.column("embedding"))
+    hashed = _vectors(collection, "chunk_id").withColumn("_hash", F.md5(F.col("chunk_id").cast("string")))
+    total = hashed.count()
+    wanted = min(cells, total)
+    smallest = hashed.orderBy("_hash", "chunk_id").limit(cells).select("embedding")
+    if total > 64 * cells:
+        place = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double") / float(16**12)
+        low = hashed.where(place < 4.0 * cells / total)
+        picked = low.orderBy("_hash", "chunk_id").limit(cells).select("embedding").toArrow()
+        if picked.num_rows == wanted:
+            return _matrix(picked.column("embedding"))
+    return _matrix(smallest.toArrow().column("embedding"))
 
 
 def _pivot_distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -240,17 +246,23 @@ def _to_cells(df: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
     return df.mapInArrow(assign, schema)
 
 
-def _scan_cells(probes: DataFrame, members: DataFrame, k: int, rows_per_block: int) -> DataFrame:
+def _scan_cells(
+    probes: DataFrame, members: DataFrame, k: int, queries_per_block: int, members_per_block: int
+) -> DataFrame:
     """k nearest members of every probed cell, for each probe.
 
     A cell of any size, a third of all vectors included, is cut into blocks on both sides
     by hash, so each task compares two bounded blocks and returns k rows per query.
     """
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias(name))
+    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
 
     # One row per cell, so no more rows than there are pivots.
-    sizes = F.broadcast(blocks(probes, "query_blocks").join(blocks(members, "member_blocks"), "cell"))
+    sizes = F.broadcast(
+        blocks(probes, queries_per_block, "query_blocks").join(
+            blocks(members, members_per_block, "member_blocks"), "cell"
+        )
+    )
 
     def place(df: DataFrame, key: str, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
         return df.join(sizes, "cell").select(
@@ -293,7 +305,8 @@ def top_k_approx(
     *,
     cells: int = 256,
     probes: int = 16,
-    rows_per_block: int = 8192,
+    queries_per_block: int = 8192,
+    members_per_block: int = 131_072,
 ) -> DataFrame:
     """k nearest among the ``probes`` cells closest to each query.
 
@@ -305,7 +318,7 @@ def top_k_approx(
     asked = _to_cells(_vectors(queries, "query_id"), centres, probes)
     # Counted and searched: written once, so cells are not worked out twice.
     members = _to_cells(_vectors(collection, "chunk_id"), centres, 1).checkpoint()
-    return _top_per_query(_scan_cells(asked, members, k, rows_per_block), k)
+    return _top_per_query(_scan_cells(asked, members, k, queries_per_block, members_per_block), k)
 
 
 def _vectors(df: DataFrame, key: str) -> DataFrame:
@@ -318,7 +331,9 @@ def top_k_cells(
     k: int = fixed.NEIGHBOURS,
     *,
     cells: int = 256,
-    rows_per_block: int = 8192,
+    queries_per_block: int = 8192,
+    members_per_block: int = 131_072,
+    **limits,
 ) -> DataFrame:
     """Exact k nearest chunks when both sides are large.
 
@@ -347,20 +362,22 @@ def top_k_cells(
 
     own = _to_cells(asked, centres, 1).checkpoint()
     # What is used more than once is written once, so it is not worked out again.
-    first = _top_per_query(_scan_cells(own, placed, k, rows_per_block), k).checkpoint()
+    blocks = (queries_per_block, members_per_block)
+    first = _top_per_query(_scan_cells(own, placed, k, *blocks), k).checkpoint()
     bound = first.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.sqrt(F.max("distance"))).alias("_bound")
     )
     rest = _other_cells(own.join(bound, "query_id", "left"), centres, reach)
-    second = _scan_cells(rest, placed, k, rows_per_block)
+    second = _scan_cells(rest, placed, k, *blocks)
     found = _top_per_query(first.select("query_id", "chunk_id", "distance").unionByName(second), k)
 
-    shared = asked_all.join(
-        asked.withColumnRenamed("query_id", "_asked"), "embedding"
-    ).select("query_id", "_asked")
-    return shared.join(found.withColumnRenamed("query_id", "_asked"), "_asked").select(
-        "query_id", "rank", "chunk_id", "distance"
+    # Every query takes over the answer found for its vector.
+    vector_of = asked.withColumnRenamed("query_id", "_asked")
+    named = join_groups(asked_all, vector_of, ["embedding"], **limits).select("query_id", "_asked")
+    answers = found.groupBy(F.col("query_id").alias("_asked")).agg(
+        F.collect_list(F.struct("rank", "chunk_id", "distance")).alias("_found")  # k entries
     )
+    return join_groups(named, answers, ["_asked"], **limits).select("query_id", F.inline("_found"))
 
 
 def _other_cells(own: DataFrame, centres: np.ndarray, reach: dict[int, tuple[float, float]]) -> DataFrame:

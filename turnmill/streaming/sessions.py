@@ -19,12 +19,27 @@ STATE = "segment long, messages long, chars long"
 
 
 def read_log(
-    spark: SparkSession, path: str, schema: str | T.StructType, *, files_per_trigger: int = 100, pattern: str = "*.parquet"
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    *,
+    bytes_per_trigger: int = 256 << 20,
+    files_per_trigger: int | None = None,
+    pattern: str = "*.parquet",
 ) -> DataFrame:
-    """A folder of parquet files as a stream; the files per trigger bound a micro-batch."""
+    """A folder of parquet files as a stream.
+
+    The bytes (or files) per trigger bound a micro-batch, and with it what one session can
+    bring to one task at a time.
+    """
+    limit = (
+        {"maxBytesPerTrigger": str(bytes_per_trigger)}
+        if files_per_trigger is None
+        else {"maxFilesPerTrigger": str(files_per_trigger)}
+    )
     return (
         spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(**limit)
         .option("pathGlobFilter", pattern)
         .parquet(path)
     )
@@ -58,7 +73,7 @@ def session_history(log: DataFrame, seq: str = "seq", idle: str | None = None) -
             state.remove()
             return
         segment, messages, chars = state.get if state.exists else (0, 0, 0)
-        # One session's share of one micro-batch, which the trigger's file limit bounds.
+        # One session's share of one micro-batch, which the trigger's limit bounds.
         rows = pd.concat(batches, ignore_index=True).sort_values(seq, kind="stable")
         reset = rows["kind"].isin(["end", "reset"])
         age = reset.cumsum()
