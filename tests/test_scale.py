@@ -119,11 +119,6 @@ def test_searches_equal_brute_force(spark, copies):
     assert found_rows(vectors.top_k_approx(queries, members, cells=8, probes=8, members_per_block=16)) == want
 
 
-def test_copies_as_heavy_queries(spark):
-    queries, members, want = vector_tables(spark, 50)
-    assert found_rows(vectors.top_k_cells(queries, members, cells=4, share=0.1, min_rows=2)) == want
-
-
 def test_pivots_of_large_collection(spark):
     _, members, _ = vector_tables(spark, 1)
     assert (vectors.pivots(members, 1) == vectors.pivots(members, 120)[:1]).all()  # filtered, not filtered

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from turnmill import fixed
 from turnmill.functions import text as tx
-from turnmill.operators.joins import join_groups
 from turnmill.session import shared_dir
 
 METADATA = "map<string,string>"
@@ -333,17 +332,15 @@ def top_k_cells(
     cells: int = 256,
     queries_per_block: int = 8192,
     members_per_block: int = 131_072,
-    **limits,
 ) -> DataFrame:
     """Exact k nearest chunks when both sides are large.
 
     Every query first searches its own cell. The distance of its k-th find bounds what any
     other cell must be able to offer; by the triangle inequality only the remaining cells
-    are searched as well. Repeated vectors are searched once: of equal members only the k
-    smallest ids can ever be an answer, and equal queries share theirs.
+    are searched as well. Of equal members only the k smallest ids can ever be an answer,
+    so however many copies a vector has, no more than k of them are searched.
     """
     shared_dir(queries.sparkSession)
-    asked_all = _vectors(queries, "query_id")
     same = Window.partitionBy("embedding").orderBy("chunk_id")
     members = (
         _vectors(collection, "chunk_id")
@@ -351,17 +348,15 @@ def top_k_cells(
         .where(F.col("_copy") <= k)
         .drop("_copy")
     )
-    asked = asked_all.groupBy("embedding").agg(F.min("query_id").alias("query_id")).select("query_id", "embedding")
-
+    # What is used more than once is written once, so it is not worked out again.
     centres = pivots(collection, cells)
     placed = _to_cells(members, centres, 1).checkpoint()
+    own = _to_cells(_vectors(queries, "query_id"), centres, 1).checkpoint()
     reach = {
         r["cell"]: (r["least"], r["most"])
         for r in placed.groupBy("cell").agg(F.min("radius").alias("least"), F.max("radius").alias("most")).collect()
     }  # one entry per cell
 
-    own = _to_cells(asked, centres, 1).checkpoint()
-    # What is used more than once is written once, so it is not worked out again.
     blocks = (queries_per_block, members_per_block)
     first = _top_per_query(_scan_cells(own, placed, k, *blocks), k).checkpoint()
     bound = first.groupBy("query_id").agg(
@@ -369,15 +364,7 @@ def top_k_cells(
     )
     rest = _other_cells(own.join(bound, "query_id", "left"), centres, reach)
     second = _scan_cells(rest, placed, k, *blocks)
-    found = _top_per_query(first.select("query_id", "chunk_id", "distance").unionByName(second), k)
-
-    # Every query takes over the answer found for its vector.
-    vector_of = asked.withColumnRenamed("query_id", "_asked")
-    named = join_groups(asked_all, vector_of, ["embedding"], **limits).select("query_id", "_asked")
-    answers = found.groupBy(F.col("query_id").alias("_asked")).agg(
-        F.collect_list(F.struct("rank", "chunk_id", "distance")).alias("_found")  # k entries
-    )
-    return join_groups(named, answers, ["_asked"], **limits).select("query_id", F.inline("_found"))
+    return _top_per_query(first.select("query_id", "chunk_id", "distance").unionByName(second), k)
 
 
 def _other_cells(own: DataFrame, centres: np.ndarray, reach: dict[int, tuple[float, float]]) -> DataFrame:
