@@ -153,6 +153,11 @@ def test_run_label(spark):
 def test_local_time(spark):
     at = datetime.datetime(2024, 7, 1, 20, 30, 5)
     zones = [("Asia/Shanghai",), ("America/New_York",), ("Mars/Base",)]
+    # 02:30 on that day does not exist in New York, whatever zone the session has.
+    gap = F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert spark.range(1).select(tools.local_time(gap, F.lit("UTC"))).first()[0] == "2024-03-10 02:30:00 星期日"
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.createDataFrame(zones, "z string").select(tools.local_time(F.lit(at).cast("timestamp_ntz"), F.col("z")))
     assert [r[0] for r in df.collect()] == [
         "2024-07-02 04:30:05 星期二",

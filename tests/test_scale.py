@@ -184,6 +184,17 @@ def test_partition_count_does_not_matter(spark, name):
     assert results[0] == results[1]
 
 
+@pytest.mark.parametrize("name", ["localized_time", "running_history", "session_segments", "series_slot"])
+def test_session_zone_does_not_matter(spark, name):
+    query = contract.queries()[name]
+    want = rows_of(query(spark, FOLDER))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert rows_of(query(spark, FOLDER)) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -35,6 +35,8 @@ STATUS_WRONG = "✗"
 QUESTION_CLIP = 50
 PREVIEW_CHARS = 200
 PROGRESS_EVERY = 10
+RESULTS_FOLDER = "ceval-exma"
+RESULTS_SUFFIX = "_results.txt"
 
 # Corpus and training-data settings.
 SPLIT_SEED = 42

@@ -99,9 +99,8 @@ def run_label(model_type: Column, adapter_path: Column) -> Column:
 
 
 def report_path(root: str, subject: Column, label: Column) -> Column:
-    return F.concat(
-        F.lit(f"{root.rstrip('/')}/ceval-exma/"), subject, F.lit("/"), label, F.lit("_results.txt")
-    )
+    folder = F.lit(f"{root.rstrip('/')}/{fixed.RESULTS_FOLDER}/")
+    return F.concat(folder, subject, F.lit("/"), label, F.lit(fixed.RESULTS_SUFFIX))
 
 
 def command_kind(text: Column) -> Column:

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from turnmill import fixed
 
 
-_SHORT_DAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")  # as date_format writes them
-
-
 @lru_cache(maxsize=1)
 def _zones() -> tuple[str, ...]:
     """Zone names known to the time-zone database and to the JVM (a few hundred)."""
@@ -29,9 +26,9 @@ def local_time(ts: Column, zone: Column) -> Column:
     """
     known = zone.isin(*_zones())
     local = F.convert_timezone(F.lit("UTC"), F.when(known, zone).otherwise("UTC"), ts)
-    shown = F.date_format(local, "yyyy-MM-dd HH:mm:ss E")
-    for short, name in zip(_SHORT_DAYS, fixed.WEEKDAYS, strict=True):
-        shown = F.replace(shown, F.lit(short), F.lit(name))
+    # Casts of a time without zone do not depend on the zone of the session.
+    weekday = F.element_at(F.array(*map(F.lit, fixed.WEEKDAYS)), F.weekday(local.cast("date")) + 1)
+    shown = F.concat(F.substring(local.cast("string"), 1, 19), F.lit(" "), weekday)
     missing = F.concat(
         F.lit(fixed.TIME_FAILED + "'No time zone found with key "), F.coalesce(zone, F.lit("None")), F.lit("'")
     )

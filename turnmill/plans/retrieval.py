@@ -11,7 +11,7 @@ from turnmill.plans import stubs
 from turnmill.plans.inputs import table
 
 CELLS = 16
-PROBES = 4
+PROBES = 8
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
