@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from turnmill.operators import blocks, corpus, grading, history, joins, split, traces, vectors
+from turnmill.operators import blocks, corpus, fewshot, grading, history, joins, rendering, split, traces, vectors
 from turnmill.plans import inputs
 from turnmill.plans.sessions import ORDER
 
@@ -63,6 +63,15 @@ def test_running_and_neighbours_equal_windows(spark, size):
     assert rows_of(got) == rows_of(want)
 
 
+def test_more_long_keys_than_listed(spark, monkeypatch):
+    chats = inputs.table(spark, FOLDER, "conversations")
+    want = rows_of(rendering.loss_spans(chats))
+    assert rows_of(rendering.loss_spans(chats, turns_per_part=2)) == want
+    monkeypatch.setattr(blocks, "MOST_KEYS_SENT", 3)
+    assert blocks.by_number(chats, ["conv_id"], "turn", 2).several is None
+    assert rows_of(rendering.loss_spans(chats, turns_per_part=2)) == want
+
+
 def test_audit_and_accuracy_do_not_depend_on_blocks(spark):
     trace = inputs.trace(spark, FOLDER)
     assert rows_of(traces.audit(trace, 5)) == rows_of(traces.audit(trace))
@@ -143,6 +152,14 @@ def test_heavy_prompts_and_pairs(spark):
     assert rows_of(corpus.group_advantage(rewards, **limits)) == rows_of(corpus.group_advantage(rewards))
 
 
+@pytest.mark.parametrize("by", [None, ["subject"]])
+def test_too_many_shots_fail(spark, by, monkeypatch):
+    monkeypatch.setattr(fewshot, "MOST_SHOTS", 2)
+    test, dev = inputs.items(spark, FOLDER, "test"), inputs.items(spark, FOLDER, "dev")
+    with pytest.raises(Exception, match="more than 2 dev items"):
+        fewshot.few_shot_prompts(test, dev, by).collect()
+
+
 def test_search_of_few_members(spark):
     queries, members, _ = vector_tables(spark, 1)
     few = members.where(F.col("chunk_id") < "c003")

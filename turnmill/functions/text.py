@@ -25,8 +25,9 @@ SPACES = "".join(map(chr, _SPACE_POINTS))
 # The same set as a regular-expression class that Java and RE2 read alike.
 SPACE_CLASS = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}]"
 
-AFTER_MARK = rf"(?i)[{fixed.ANSWER_MARKS}]{SPACE_CLASS}*([A-D])"
-STANDALONE = r"(?i)(?<![\p{L}\p{N}_])([A-D])(?![\p{L}\p{N}_])"
+_MARK = ":"
+AFTER_MARK = rf"{_MARK}{SPACE_CLASS}*([A-Da-d])"
+STANDALONE = r"(?<![\p{L}\p{N}_])([A-Da-d])(?![\p{L}\p{N}_])"
 
 
 def py_strip(text: Column) -> Column:
@@ -77,17 +78,21 @@ def extract_answer(response: Column) -> Column:
     text = py_strip(F.coalesce(response, F.lit("")))
     head = F.upper(F.substring(text, 1, 1))
     upper = F.upper(text)
-
-    def matched(pattern: str) -> Column:
-        return F.nullif(F.upper(F.regexp_extract(text, pattern, 1)), F.lit(""))
-
-    return F.coalesce(
-        F.when(head.isin(*fixed.LETTERS), head),
-        matched(AFTER_MARK),
-        matched(STANDALONE),
-        *[F.when(upper.contains(letter), F.lit(letter)) for letter in fixed.LETTERS],
+    # One mark stands for all, which makes for a pattern that is searched much faster.
+    marked = text
+    for mark in fixed.ANSWER_MARKS:
+        if mark != _MARK:
+            marked = F.replace(marked, F.lit(mark), F.lit(_MARK))
+    # Each rule gives a letter or nothing, so the first letter of them all in a row is the
+    # answer. Every rule is evaluated once, where ``coalesce`` would search texts twice.
+    rules = F.concat(
+        F.when(head.isin(*fixed.LETTERS), head).otherwise(""),
+        F.upper(F.regexp_extract(marked, AFTER_MARK, 1)),
+        F.upper(F.regexp_extract(text, STANDALONE, 1)),
+        *[F.when(upper.contains(letter), letter).otherwise("") for letter in fixed.LETTERS],
         F.lit(fixed.UNKNOWN),
     )
+    return F.replace(F.substring(rules, 1, 1), F.lit(fixed.UNKNOWN[0]), F.lit(fixed.UNKNOWN))
 
 
 def run_label(model_type: Column, adapter_path: Column) -> Column:

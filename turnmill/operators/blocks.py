@@ -5,8 +5,8 @@ into blocks along their order. Windows run inside a block; what a block has to k
 about the ones before or after it is one summary row per block, computed with map-side
 combining and joined back. The result is the same as that of the plain window.
 
-Only keys that really span several blocks take the second path: for all others the
-summary side is empty, and adaptive execution removes the join.
+Whether any key spans several blocks is found out first, with a narrow job. If none does,
+the plan is the plain window and nothing else.
 """
 
 from __future__ import annotations
@@ -19,20 +19,36 @@ from pyspark.sql import functions as F
 BLOCK = "_block"
 
 
+MOST_KEYS_SENT = 10_000  # keys brought to the driver to pick out their rows
+
+
 @dataclass(frozen=True)
 class Blocked:
-    """Rows with a block column, and the keys that have more than one block."""
+    """Rows with a block column.
+
+    ``several`` lists the keys that have more than one block; None stands for any number
+    of them, too many to list.
+    """
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    several: DataFrame | None  # None: no key has more than one block
+    several: list[Row] | None
+
+    @property
+    def plain(self) -> bool:
+        return self.several is not None and not self.several
 
     def with_rows(self, rows: DataFrame) -> Blocked:
         return replace(self, rows=rows)
 
     def split_rows(self) -> DataFrame:
-        return self.rows.join(self.several, list(self.keys), "left_semi")
+        """The rows to summarise: those of the listed keys, or all of them."""
+        if self.several is None:
+            return self.rows
+        schema = self.rows.select(*self.keys).schema
+        listed = self.rows.sparkSession.createDataFrame(self.several, schema)
+        return self.rows.join(F.broadcast(listed), list(self.keys), "left_semi")
 
     def window(self):
         return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order)
@@ -43,9 +59,10 @@ def by_number(df: DataFrame, keys: list[str], order: str, size: int) -> Blocked:
 
     Which keys go beyond the first block is a filter the scan can push down.
     """
-    several = df.where(F.col(order) >= size).select(*keys).distinct()
+    beyond = df.where((F.col(order) >= size) | (F.col(order) <= -size)).select(*keys).distinct()
+    found = beyond.limit(MOST_KEYS_SENT + 1).collect()
     rows = df.withColumn(BLOCK, F.expr(f"`{order}` div {size}"))
-    return Blocked(rows, tuple(keys), (order,), several)
+    return Blocked(rows, tuple(keys), (order,), found if len(found) <= MOST_KEYS_SENT else None)
 
 
 def time_slot(ts: Column, unit: str = "hour") -> Column:
@@ -82,13 +99,14 @@ def by_heavy_key(
     ``slot`` must not decrease along ``order``.
     """
     heavy = heavy_keys(df, keys, share, min_rows)
-    if not heavy:
-        return Blocked(df.withColumn(BLOCK, F.lit(0).cast("long")), tuple(keys), tuple(order), None)
-    schema = df.select(*keys).schema
-    several = F.broadcast(df.sparkSession.createDataFrame(heavy, schema))
-    marked = df.join(several.withColumn("_heavy", F.lit(True)), keys, "left")
-    block = F.when(F.col("_heavy"), slot.cast("long")).otherwise(F.lit(0).cast("long"))
-    return Blocked(marked.withColumn(BLOCK, block).drop("_heavy"), tuple(keys), tuple(order), several)
+    block = F.lit(0).cast("long")
+    marked = df
+    if heavy:
+        listed = df.sparkSession.createDataFrame(heavy, df.select(*keys).schema)
+        marked = df.join(F.broadcast(listed.withColumn("_heavy", F.lit(True))), keys, "left")
+        block = F.when(F.col("_heavy"), slot.cast("long")).otherwise(block)
+    rows = marked.withColumn(BLOCK, block).select(*df.columns, BLOCK)
+    return Blocked(rows, tuple(keys), tuple(order), heavy)
 
 
 _FOLDS = {
@@ -111,7 +129,7 @@ def running(blocked: Blocked, columns: dict[str, tuple[str, Column]]) -> Blocked
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     names = blocked.rows.columns
-    if blocked.several is None:
+    if blocked.plain:
         return blocked.with_rows(
             blocked.rows.select(
                 "*", *[_FOLDS[fold][0](value).over(so_far).alias(n) for n, (fold, value) in columns.items()]
@@ -152,7 +170,7 @@ def neighbours(blocked: Blocked, column: str) -> Blocked:
     here = blocked.rows.select(
         "*", F.lag(value).over(window).alias("previous"), F.lead(value).over(window).alias("following")
     )
-    if blocked.several is None:
+    if blocked.plain:
         return blocked.with_rows(here)
     edges = (
         blocked.split_rows()

@@ -120,7 +120,8 @@ def group_advantage(rewards: DataFrame, eps: float = 1e-4, **limits) -> DataFram
     """Reward relative to its prompt's group: ``(r - mean) / (std + eps)``.
 
     Group statistics are a partial aggregate joined back, so the rows of a prompt are
-    never gathered in one task as a window would do.
+    never gathered in one task as a window would do. ``rewards`` is read twice: store what
+    a model scored before coming here.
     """
     stats = rewards.groupBy("prompt_id").agg(
         F.avg("reward").alias("group_mean"),
