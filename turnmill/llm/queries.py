@@ -5,12 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import licenses, rules, warc
+from turnmill.llm import bpe, licenses, packing, rules, token_files, warc
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, folder), word_tokenizer())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op2_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     captures = warc.page_captures(warc.write_archives(table(spark, folder, "pages")))
     response = F.col("response")
@@ -23,6 +40,12 @@ def op2_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = token_files.write_token_files(documents(spark, folder), byte_tokenizer())
+    read = token_files.read_token_files(manifest)
+    return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(documents(spark, folder).select("doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -35,12 +58,32 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_rank_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode_decode(documents(spark, folder).select("doc_id", "text"), word_tokenizer())
+    return coded.select("doc_id", "bpe").select(
+        "doc_id",
+        F.col("bpe")["n_tokens"].alias("n_tokens"),
+        F.sha2(F.col("bpe")["ids"], 256).alias("ids_sha256"),
+        F.sha2(F.col("bpe")["decoded"].cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_license_templates(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
     columns = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     return found.select("doc_id", "license").select("doc_id", *[F.col("license")[c].alias(c) for c in columns])
 
 
-QUERIES = {f.__name__: f for f in (op2_warc_transactions, op7_quality_rules, op9_license_templates)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_warc_transactions,
+        op4_token_files,
+        op7_quality_rules,
+        op8_rank_bpe,
+        op9_license_templates,
+    )
+}
 
 __all__ = ["ORACLE", "QUERIES"]
