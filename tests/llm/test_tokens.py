@@ -124,7 +124,7 @@ def test_op4(spark):
 
 def test_token_files_odd(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_IDS", 1024)
-    monkeypatch.setattr(token_files, "FILE_IDS", 5_000)
+    monkeypatch.setattr(token_files, "FILE_IDS", 300)
     monkeypatch.setattr(token_files, "ENCODE_ROWS", 3)
     manifest = token_files.write_token_files(odd, BYTE)
     rows = token_files.read_token_files(manifest).collect()
