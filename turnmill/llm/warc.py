@@ -5,8 +5,8 @@ payload) and a metadata record; request and metadata name the response in their
 ``WARC-Concurrent-To`` header. Each record is a gzip member of its own.
 
 Rows with a null payload have an empty one. A null page id sorts last among the rows of a
-payload. Repeated rows are captures of their own: each gets a record id from the staged
-table, so ids never meet. An empty table gives no file and no rows. Other columns are not
+payload. Repeated rows are captures of their own; record ids come from the archive's name
+and the place in it, so they never meet. An empty table gives no file and no rows. Other columns are not
 read, so their names don't matter.
 """
 
@@ -40,10 +40,6 @@ RECORD = (
 )
 
 
-def record_id(run: str, uid: int, kind: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.UUID(run), f'{kind}:{uid}')}>"
-
-
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     lines = ["WARC/1.1", *[f"{k}: {v}" for k, v in headers], f"Content-Length: {len(block)}", "", ""]
     return gzip.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n", LEVEL, mtime=0)
@@ -54,10 +50,10 @@ def one_line(value: str | None) -> str:
     return " ".join((value or "").split())
 
 
-def capture(run: str, row: dict) -> bytes:
-    """The three records of a row: uid, page_id, url, payload (None for a revisit), digest, bytes, first_uid."""
-    uid, url = row["uid"], one_line(row["url"])
-    own = record_id(run, uid, "response")
+def capture(archive: str, number: int, row: dict) -> bytes:
+    """The three records of a row: page_id, url, payload (None for a revisit), digest, bytes, first."""
+    own, asked_id, meta_id = (f"<urn:uuid:{uuid.uuid5(uuid.UUID(archive), f'{kind}:{number}')}>" for kind in "abc")
+    url = one_line(row["url"])
     base = [("WARC-Date", DATE), ("WARC-Target-URI", url)]
     host, _, path = url.partition("://")[2].partition("/")
     asked = f"GET /{path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
@@ -69,20 +65,21 @@ def capture(run: str, row: dict) -> bytes:
         what, body = "revisit", b""
         kind += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ("WARC-Refers-To", record_id(run, row["first_uid"], "response")),
+            ("WARC-Refers-To-Target-URI", one_line(row["first"]["url"])),
+            ("WARC-Refers-To-Date", DATE),
         ]
     else:
         what, body = "response", row["payload"]
     page = "" if row["page_id"] is None else f"page-id: {row['page_id']}\r\n"
     parts = [
         record(
-            [("WARC-Type", "request"), ("WARC-Record-ID", record_id(run, uid, "request")), *base,
+            [("WARC-Type", "request"), ("WARC-Record-ID", asked_id), *base,
              ("WARC-Concurrent-To", own), ("Content-Type", "application/http;msgtype=request")],
             asked,
         ),
         record([("WARC-Type", what), ("WARC-Record-ID", own), *base, *kind], head + body),
         record(
-            [("WARC-Type", "metadata"), ("WARC-Record-ID", record_id(run, uid, "metadata")), *base,
+            [("WARC-Type", "metadata"), ("WARC-Record-ID", meta_id), *base,
              ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields")],
             page.encode(),
         ),
@@ -93,50 +90,42 @@ def capture(run: str, row: dict) -> bytes:
 def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Writes the captures of ``pages`` to the shared folder; returns the manifest (path, n_captures).
 
-    The rows are staged with an id each, so that a task that runs again sees the same ids.
-    Of rows with one payload the first by page id is written in full.
+    Of rows with one payload those with the least page id are written in full. A revisit
+    names the payload's digest, by which readers find its response.
     """
     body = F.coalesce(F.encode(F.col(html), "utf-8"), F.lit(b""))
-    rows = staged(
-        pages.select(
-            F.monotonically_increasing_id().alias("uid"),
-            F.col(page_id).cast("long").alias("page_id"),
-            F.col(url).alias("url"),
-            body.alias("payload"),
-            F.sha2(body, 256).alias("digest"),
-            F.length(body).cast("long").alias("bytes"),
-        ),
-        "pages",
-    )
-    order = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("p"), F.col("uid").alias("u"))
-    # Short payloads have no first row: a null key finds nothing.
-    rows = rows.select(
+    rows = pages.select(
+        F.col(page_id).cast("long").alias("page_id"),
+        F.col(url).alias("url"),
+        body.alias("payload"),
+        F.sha2(body, 256).alias("digest"),
+        F.length(body).cast("long").alias("bytes"),
+    ).select(
         "*",
+        # Short payloads have no first row: a null key finds nothing.
         F.when(F.col("bytes") >= REVISIT_FROM_BYTES, F.col("digest")).alias("key"),
-        F.xxhash64("uid").alias("salt"),
+        F.xxhash64("page_id", "url").alias("salt"),
     )
-    firsts = rows.select("key", "salt", "page_id", "uid")
-    found = attach(rows, "key", firsts, (F.min(order).alias("first"), "min"))
-    revisit = F.col("first").isNotNull() & (F.col("first")["u"] != F.col("uid"))
+    order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "url")
+    found = attach(rows, "key", rows.select("key", "salt", "page_id", "url"), (F.min(order).alias("first"), "min"))
+    revisit = F.col("first").isNotNull() & ~F.col("first")["page_id"].eqNullSafe(F.col("page_id"))
     found = found.select(
-        "uid", "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", "bytes",
-        F.col("first")["u"].alias("first_uid"),
-    )
+        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", "bytes", "first"
+    )
     folder = run_dir(pages.sparkSession, "warc")
-    run = str(uuid.uuid4())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())
         for row in rows:
-            count = 0
+            count, archive = 0, str(uuid.uuid4())
 
-            def parts(row=row):
+            def parts(row=row, archive=archive):
                 nonlocal count
                 size = 0
                 while row is not None:
                     count += 1
                     size += row["bytes"] + 1000
-                    yield capture(run, row)
+                    yield capture(archive, count, row)
                     row = next(rows, None) if size < ARCHIVE_BYTES else None
 
             path = write_file(folder, ".warc.gz", parts())
@@ -173,7 +162,7 @@ def parse(data: bytes, with_payload: bool) -> dict:
     block = rest[: int(named["content-length"])]
     out = {
         "record_id": named["warc-record-id"], "type": named["warc-type"], "target_uri": named.get("warc-target-uri"),
-        "concurrent_to": [v for k, v in pairs if k == "warc-concurrent-to"], "refers_to": named.get("warc-refers-to"),
+        "concurrent_to": [v for k, v in pairs if k == "warc-concurrent-to"], "refers_to": named.get("warc-refers-to-target-uri"),
         "payload_digest": named.get("warc-payload-digest", "").removeprefix("sha256:") or None,
         "payload_bytes": None, "digest_ok": None, "fields": None, "payload": None,
     }
@@ -245,19 +234,23 @@ def page_of(captures: DataFrame) -> Column:
 
 
 def page_captures(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Captures with the page they hold and, for revisits, the page of the response they refer to."""
+    """Captures with the page they hold and, for revisits, the page of the response with that payload.
+
+    Many revisits may share a response: they are dealt to pieces, each of which gets the
+    response's page.
+    """
     captures = staged(assemble(staged(read_records(manifest, with_payload), "warc-records")), "captures")
-    captures = captures.withColumn("page_id", page_of(captures))
-    first = captures.where(F.col("response")["type"] == "response").select(
-        F.col("record_id").alias("key"), F.xxhash64("record_id").alias("salt"), "page_id"
+    response = F.col("response")
+    full = (response["type"] == "response") & (response["payload_bytes"] >= REVISIT_FROM_BYTES)
+    known = captures.select(
+        response["payload_digest"].alias("key"),
+        F.xxhash64("record_id").alias("salt"),
+        F.when(full, page_of(captures)).alias("page_id"),
     )
-    asking = captures.select("*", F.col("response")["refers_to"].alias("key"))
-    # Many revisits may refer to one response: the response's page is one value per key, sent
-    # to the pieces its revisits are dealt to.
-    wanted = asking.where(F.col("key").isNotNull()).select("key", F.xxhash64("record_id").alias("salt"))
-    none = F.lit(None)
-    over = first.select("key", "salt", "page_id").unionByName(wanted.withColumn("page_id", none.cast("long")))
-    found = attach(
-        asking.withColumn("salt", F.xxhash64("record_id")), "key", over, (F.min("page_id").alias("refers_to_page"), "min")
+    asking = captures.select(
+        "*",
+        page_of(captures).alias("page_id"),
+        F.when(response["type"] == "revisit", response["payload_digest"]).alias("key"),
+        F.xxhash64("record_id").alias("salt"),
     )
-    return found.drop("key", "salt")
+    return attach(asking, "key", known, (F.min("page_id").alias("refers_to_page"), "min")).drop("key", "salt")
