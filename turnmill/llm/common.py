@@ -61,14 +61,17 @@ def text_blocks(column: pa.Array | pa.ChunkedArray) -> tuple[bytes, list[int]]:
     return b"".join(parts), ends
 
 
-def attach(rows: DataFrame, key: str, over: DataFrame, *aggs: tuple[Column, str]) -> DataFrame:
+def attach(
+    rows: DataFrame, key: str, over: DataFrame, *aggs: tuple[Column, str], having: Column | None = None
+) -> DataFrame:
     """Each row with aggregates over the rows of ``over`` that have its key; a hot key is spread.
 
     ``aggs`` hold (aggregate over ``over``, how the partial values merge: min, max or sum),
     each aliased. The aggregate travels to as many places as it has rows in: rows of a key
     are dealt to ``SALTS`` pieces by the column ``salt`` (a long, needed in both frames), the
     aggregate is worked out for each piece and then for the key, and goes back to the pieces.
-    Rows whose key is null or not in ``over`` get nulls.
+    Rows whose key is null or not in ``over`` get nulls; with ``having``, a condition on the
+    aggregates, rows of other keys are left out.
     """
     names = [a._jc.toString().rsplit(" AS ", 1)[1] for a, _ in aggs]
     piece = F.pmod(F.col("salt"), F.lit(SALTS)).cast("int")
@@ -77,8 +80,10 @@ def attach(rows: DataFrame, key: str, over: DataFrame, *aggs: tuple[Column, str]
         *[getattr(F, how)(n).alias(n) for n, (_, how) in zip(names, aggs, strict=True)],
         F.collect_list("__piece").alias("__pieces"),
     )
+    if having is not None:
+        whole = whole.where(having)
     back = whole.select(key, *names, F.explode("__pieces").alias("__piece"))
-    return rows.withColumn("__piece", piece).join(back, [key, "__piece"], "left").drop("__piece")
+    return rows.withColumn("__piece", piece).join(back, [key, "__piece"], "left" if having is None else "inner").drop("__piece")
 
 
 def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:

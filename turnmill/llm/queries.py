@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import bpe, licenses, packing, rules, token_files, warc
+from turnmill.llm import bpe, licenses, packing, quality, rules, token_files, toxicity, warc
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
 
 
+#: Scores from which a document counts as good, and as toxic.
+QUALITY_FROM = 0.3
+TOXIC_FROM = 0.5
+
+
 def word_tokenizer() -> str:
     import public_tokenizers
 
@@ -40,6 +45,27 @@ def op2_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return _judged(quality.score(docs, model), QUALITY_FROM)
+
+
+def _judged(scored: DataFrame, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op5_toxicity_network(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return _judged(toxicity.score(docs, model), TOXIC_FROM)
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = token_files.write_token_files(documents(spark, folder), byte_tokenizer())
     read = token_files.read_token_files(manifest)
@@ -79,7 +105,9 @@ QUERIES = {
     for f in (
         op1_packing,
         op2_warc_transactions,
+        op3_quality_classifier,
         op4_token_files,
+        op5_toxicity_network,
         op7_quality_rules,
         op8_rank_bpe,
         op9_license_templates,
