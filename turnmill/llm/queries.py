@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import bpe, licenses, packing, quality, rules, token_files, toxicity, warc
+from turnmill.llm import bpe, licenses, near, packing, quality, rules, token_files, toxicity, warc
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
@@ -100,6 +100,13 @@ def op9_license_templates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "license").select("doc_id", *[F.col("license")[c].alias(c) for c in columns])
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.near_duplicates(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        near.id_of("__a").alias("doc_id"), near.id_of("class_a").alias("class_id"), "n_links", "n_copies"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -111,6 +118,7 @@ QUERIES = {
         op7_quality_rules,
         op8_rank_bpe,
         op9_license_templates,
+        op10_ngram_join,
     )
 }
 
