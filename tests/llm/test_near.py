@@ -98,7 +98,7 @@ def test_odd(spark, odd, empty):
     found = near.near_duplicates(odd).collect()
     assert len(found) == len(rows)  # the repeated row once
     by = {r["__a"]: r for r in found}
-    assert by[near.NO_ID].n_links == 0  # ODD[3], with a null id
+    assert by[near.NO_ID].n_links == 2  # ODD[3], with a null id: "a", as two others
     for i in (0, 1, 2):
         assert (by[i].class_a, by[i].n_links, by[i].n_copies) == (i, 0, 1)
     same = ODD.index("same text")

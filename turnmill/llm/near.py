@@ -56,7 +56,7 @@ def shingle_sets(bodies: list[bytes]) -> list[np.ndarray]:
         words = spans.hashes(spans.starts, spans.ends)
         cuts = np.searchsorted(spans.doc, np.arange(len(some) + 1))
         grams = words.copy()
-        for k in range(1, SHINGLE):
+        for k in range(1, SHINGLE if len(words) >= SHINGLE else 1):
             grams[: len(words) - k] = mix(grams[: len(words) - k] * np.uint64(31) + words[k:] + np.uint64(k))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b - a >= SHINGLE:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from turnmill.llm.hamming import K
 from turnmill.llm.rules import RULES, STOP_WORDS, WINDOW
 from turnmill.llm.warc import REVISIT_FROM_BYTES
 
@@ -27,6 +28,13 @@ ORACLE = {
                     else 'response' end as record_type,
                case when payload_bytes >= {REVISIT_FROM_BYTES} and first <> page_id then first end as refers_to
         from f""",
+    "op6_multi_index_hashing": f"""
+        with b as (select vec_id, list_transform(embedding, lambda x: x > 0) as bits from embeddings),
+        q as (select * from b where vec_id % 20 = 0),
+        d as (select q.vec_id as query_id, b.vec_id as neighbor_id,
+                     len(list_filter(list_zip(q.bits, b.bits), lambda p: p[1] <> p[2])) as distance from q, b),
+        r as (select *, row_number() over (partition by query_id order by distance, neighbor_id) as rank from d)
+        select query_id, rank, neighbor_id, distance from r where rank <= {K}""",
     "op7_quality_rules": f"""
         with t as (select doc_id, coalesce(text, '') as text from documents),
         w as (select *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import bpe, licenses, near, packing, quality, rules, token_files, toxicity, warc
+from turnmill.llm import bpe, hamming, licenses, near, packing, quality, rules, token_files, toxicity, warc
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
@@ -72,6 +72,12 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest codes, the row itself among them, of every row whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return hamming.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(documents(spark, folder).select("doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -115,6 +121,7 @@ QUERIES = {
         op3_quality_classifier,
         op4_token_files,
         op5_toxicity_network,
+        op6_multi_index_hashing,
         op7_quality_rules,
         op8_rank_bpe,
         op9_license_templates,
