@@ -154,5 +154,11 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
 
 
 def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows whose texts keep all rules, with the columns they came with."""
-    return judge(df, text, rules).where(F.col("__verdict")["kept"]).select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows whose texts keep all rules, with the columns they came with.
+
+    A filter moves below the projections it reads from, where each mention of a measure
+    would work it out anew. A row number (true of every row) holds it back.
+    """
+    kept = F.when(F.monotonically_increasing_id() >= 0, F.col("__verdict")["kept"])
+    judged = judge(df, text, rules).withColumn("__kept", kept)
+    return judged.where("__kept").select(*[F.col(f"`{c}`") for c in df.columns])
