@@ -73,15 +73,16 @@ def test_clip_and_report_line(spark):
     assert spark.range(1).select(line).first()[0] == f"{'7':<6} | {'w' * 45:<40} | {'UNKNOWN':<5} | {'A':<5} | ✗"
 
 
-@pytest.mark.parametrize("turns_per_part", [1, 2, 16_384])
+@pytest.mark.parametrize("turns_per_block", [1, 2, 16_384])
 @pytest.mark.parametrize("with_tools", [False, True])
-def test_render_trace(spark, turns_per_part, with_tools):
+def test_render_trace(spark, turns_per_block, with_tools):
     df = spark.createDataFrame(TRACE, TURNS)
     offered = ['{"name": "a"}', '{"name": "b"}'] if with_tools else None
-    parts = rendering.render(df, turns_per_part=turns_per_part, tools=offered, generation_prompt=with_tools).collect()
+    rows = rendering.render(df, turns_per_block=turns_per_block, tools=offered, generation_prompt=with_tools).collect()
     text = {}
-    for row in sorted(parts, key=lambda r: (r.conv_id, r.part)):
-        text[row.conv_id] = text.get(row.conv_id, "") + row.text
+    for row in sorted(rows, key=lambda r: (r.conv_id, r.turn)):
+        assert row.start == len(text.get(row.conv_id, ""))
+        text[row.conv_id] = text.get(row.conv_id, "") + row.segment
     if not with_tools:
         assert text == {1: SYSTEM + ONE, 2: TWO, 3: THREE}
         return
@@ -101,16 +102,21 @@ def test_nested_rendering_equals_long(spark, offered):
     nested = df.groupBy("conv_id").agg(F.sort_array(F.collect_list(entry)).alias("m"))
     body = chat.render_messages(F.col("m"), tools=offered, generation_prompt=True, with_calls=True)
     got = {r.conv_id: r.t for r in nested.select("conv_id", body.alias("t")).collect()}
-    want = {r.conv_id: r.text for r in rendering.render(df, tools=offered, generation_prompt=True).collect()}
+    want = {}
+    rows = rendering.render(df, tools=offered, generation_prompt=True).collect()
+    for row in sorted(rows, key=lambda r: (r.conv_id, r.turn)):
+        want[row.conv_id] = want.get(row.conv_id, "") + row.segment
     assert got == want
 
 
-@pytest.mark.parametrize("turns_per_part", [1, 2, 16_384])
-def test_spans_slice_back(spark, turns_per_part):
+@pytest.mark.parametrize("turns_per_block", [1, 2, 16_384])
+def test_spans_slice_back(spark, turns_per_block):
     df = spark.createDataFrame(TRACE, TURNS)
     options = {"tools": ["{}"], "generation_prompt": True}
-    text = {r.conv_id: r.text for r in rendering.render(df, **options).collect()}
-    spans = rendering.loss_spans(df, turns_per_part=turns_per_part, **options).collect()
+    text = {}
+    for row in sorted(rendering.render(df, **options).collect(), key=lambda r: (r.conv_id, r.turn)):
+        text[row.conv_id] = text.get(row.conv_id, "") + row.segment
+    spans = rendering.loss_spans(df, turns_per_block=turns_per_block, **options).collect()
     assert sorted(text[s.conv_id][s.start : s.end] for s in spans) == sorted(
         [
             "done",
@@ -183,7 +189,11 @@ def test_weather(spark):
         (5, "b", 0, 401, None, None, None),
         (6, "b", 1, 200, place, 503, None),
         (7, "b", 0, 200, place, 429, None),
+        (8, "b", 0, 200, place, 200, '{"main"'),
+        (9, "b", 1, 200, place, 200, '{"list":[]}'),
+        (10, "b", 0, 200, "oops", 200, now),
     ]
+    failed = fixed.WEATHER_FAILED + tools.UNREADABLE
     schema = "n int, location string, forecast_days int, geo_status int, geo_body string, status int, body string"
     got = [(r.answer, r.outcome) for r in traces.weather(spark.createDataFrame(rows, schema)).orderBy("n").collect()]
     assert got == [
@@ -191,10 +201,13 @@ def test_weather(spark):
         ("北京（CN）天气预报（t16）：云\n预计温度：16°C (体感温度：1°C)\n预计湿度：5%", "ok"),
         ("北京（CN）天气预报（t39）：云\n预计温度：39°C (体感温度：1°C)\n预计湿度：5%", "ok"),
         (fixed.BAD_DAYS, "rejected"),
-        ("错误: 找不到城市 'b'，请检查城市名称是否正确", "ok"),
+        ("错误: 找不到城市 'b'，请检查城市名称是否正确", "city_unknown"),
         (fixed.BAD_KEY, "bad_key"),
         ("无法获取天气预报，服务返回状态码: 503", "failed"),
         (fixed.RATE_LIMITED, "rate_limited"),
+        (failed, "weather_failed"),
+        (failed, "weather_failed"),
+        (failed, "weather_failed"),
     ]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from turnmill.operators import blocks, corpus, fewshot, grading, history, joins, rendering, split, traces, vectors
-from turnmill.plans import inputs
+from turnmill.plans import inputs, registry
 from turnmill.plans.sessions import ORDER
 
 FOLDER = "/root/testdata/sf0.001"
@@ -66,10 +66,10 @@ def test_running_and_neighbours_equal_windows(spark, size):
 def test_more_long_keys_than_listed(spark, monkeypatch):
     chats = inputs.table(spark, FOLDER, "conversations")
     want = rows_of(rendering.loss_spans(chats))
-    assert rows_of(rendering.loss_spans(chats, turns_per_part=2)) == want
+    assert rows_of(rendering.loss_spans(chats, turns_per_block=2)) == want
     monkeypatch.setattr(blocks, "MOST_KEYS_SENT", 3)
     assert blocks.by_number(chats, ["conv_id"], "turn", 2).several is None
-    assert rows_of(rendering.loss_spans(chats, turns_per_part=2)) == want
+    assert rows_of(rendering.loss_spans(chats, turns_per_block=2)) == want
 
 
 def test_audit_and_accuracy_do_not_depend_on_blocks(spark):
@@ -152,12 +152,65 @@ def test_heavy_prompts_and_pairs(spark):
     assert rows_of(corpus.group_advantage(rewards, **limits)) == rows_of(corpus.group_advantage(rewards))
 
 
-@pytest.mark.parametrize("by", [None, ["subject"]])
-def test_too_many_shots_fail(spark, by, monkeypatch):
-    monkeypatch.setattr(fewshot, "MOST_SHOTS", 2)
-    test, dev = inputs.items(spark, FOLDER, "test"), inputs.items(spark, FOLDER, "dev")
-    with pytest.raises(Exception, match="more than 2 dev items"):
-        fewshot.few_shot_prompts(test, dev, by).collect()
+def test_many_shots(spark):
+    """Every dev item is in the prompt, however many there are."""
+    dev = spark.range(1500).selectExpr(
+        "id as item_id", "'q' as question", "'a' as A", "'b' as B", "'c' as C", "'d' as D", "'A' as answer"
+    )
+    prompt = fewshot.few_shot_prompts(dev.limit(1), dev).first().prompt
+    assert prompt.count("q\nA. a") == 1501
+
+
+def test_sparse_turns(spark):
+    """Turn numbers far apart change neither rows nor places."""
+    rows = [(1, t, r, x) for t, r, x in ((0, "user", "a"), (100_001, "assistant", "b"), (10**9, "user", "c"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted(rendering.render(df).collect(), key=lambda r: r.turn)
+    near = sorted(rendering.render(df.selectExpr("conv_id", "turn % 7 as turn", "role", "text")).collect(), key=lambda r: r.turn)
+    assert [(r.start, r.segment) for r in got][0] == (0, "<|im_start|>user\na<|im_end|>\n")
+    assert [r.start for r in got] == [0, len(got[0].segment), len(got[0].segment) + len(got[1].segment)]
+    assert len(near) == 3
+    nested = corpus.nest(df)
+    assert nested.count() == 1 and sorted(corpus.unnest(nested).collect()) == sorted(df.collect())
+
+
+def brute(queries, members, k):
+    out = {}
+    for q, a in queries:
+        gaps = [(float(((np.array(a) - np.array(b)) ** 2).sum()), c) for c, b in members]
+        out[q] = [c for _, c in sorted(gaps)[:k]]
+    return out
+
+
+def test_search_with_one_long_vector(spark):
+    rng = np.random.default_rng(3)
+    unit = rng.standard_normal((300, 8))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    unit[7] *= 1e7
+    members = [(f"c{i:03}", v.tolist()) for i, v in enumerate(unit)]
+    asked = [(i, (v + 1e-3).tolist()) for i, v in enumerate(unit[:20])]
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
+    collection = spark.createDataFrame(members, "chunk_id string, embedding array<double>")
+    for n in (1, 7):
+        found = vectors.top_k(queries, collection.repartition(n), k=5).orderBy("query_id", "rank").collect()
+        got = {}
+        for r in found:
+            got.setdefault(r.query_id, []).append(r.chunk_id)
+        assert got == brute(asked, members, 5)
+
+
+def test_ragged_vectors_are_refused(spark):
+    ragged = spark.createDataFrame([("a", [1.0]), ("b", [2.0, 3.0, 4.0])], "chunk_id string, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "query_id long, embedding array<double>")
+    with pytest.raises(Exception, match="same number of values"):
+        vectors.top_k(asked, ragged.coalesce(1)).collect()
+
+
+def test_unanswered_items_count(spark):
+    gold = spark.createDataFrame([("s", 1, "A"), ("t", 1, "B"), ("t", 2, "C")], "subject string, item_id long, answer string")
+    said = spark.createDataFrame([("s", 1, "A"), ("t", 1, "A")], "subject string, item_id long, response string")
+    got = sorted((r.subject, r.item_id, r.predicted, r.is_correct) for r in grading.grade(said, gold).collect())
+    assert got == [("s", 1, "A", True), ("t", 1, "A", False), ("t", 2, "UNKNOWN", False)]
 
 
 def test_search_of_few_members(spark):
@@ -223,7 +276,7 @@ PYTHON_ALLOWED = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - PYTHON_ALLOWED))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - PYTHON_ALLOWED))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, FOLDER))
     for banned in ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):

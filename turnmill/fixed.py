@@ -92,6 +92,7 @@ FORECAST_STATUS = "无法获取天气预报，服务返回状态码: "
 CITY_UNKNOWN = "错误: 找不到城市 '%s'，请检查城市名称是否正确"
 CURRENT_TEXT = "%s（%s）天气：%s\n温度：%s°C (体感温度：%s°C)\n湿度：%s%%"
 FORECAST_TEXT = "%s（%s）天气预报（%s）：%s\n预计温度：%s°C (体感温度：%s°C)\n预计湿度：%s%%"
+WEATHER_FAILED = "获取天气失败: "
 POINTS_PER_DAY = 8
 MAX_FORECAST_DAYS = 5
 

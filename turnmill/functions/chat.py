@@ -30,6 +30,15 @@ def tools_block(tools: Column) -> Column:
     return F.concat(F.lit(fixed.TOOLS_HEAD), F.array_join(lines, ""), F.lit(fixed.TOOLS_TAIL))
 
 
+def unwrapped_call(call: Column) -> Column:
+    """Name and arguments of a call, taken from its ``function`` if it has one."""
+    inner = call["function"]
+    return F.struct(
+        F.when(inner.isNotNull(), inner["name"]).otherwise(call["name"]).alias("name"),
+        F.when(inner.isNotNull(), inner["arguments"]).otherwise(call["arguments"]).alias("arguments"),
+    )
+
+
 def tool_call_text(call: Column) -> Column:
     return F.concat(
         F.lit(fixed.TOOL_CALL_OPEN + '{"name": "'),

@@ -61,6 +61,9 @@ def status_text(status: Column, other: str) -> Column:
     )
 
 
+#: Reason given for a response that can't be read.
+UNREADABLE = "unreadable response"
+
 # Fields of the service responses. Numbers stay as they are written in the JSON.
 _READING = (
     "main: struct<temp: string, feels_like: string, humidity: string>, "
@@ -84,6 +87,14 @@ def _readings(point: Column) -> list[Column]:
     return [F.get(point["weather"], F.lit(0))["description"], main["temp"], main["feels_like"], main["humidity"]]
 
 
+def readable(point: Column) -> Column:
+    """Whether a reading has all its values."""
+    held = F.lit(True)
+    for value in _readings(point):
+        held = held & value.isNotNull()
+    return held
+
+
 def forecast_point(points: Column, days: Column) -> Column:
     """The entry ``min(8 * days, last)`` of a forecast list."""
     return F.get(points, F.least(days * fixed.POINTS_PER_DAY, F.size(points) - 1))
@@ -93,22 +104,28 @@ def weather_text(
     location: Column,
     days: Column,
     geo_status: Column,
+    cities: Column,
     city: Column,
     status: Column,
     now: Column,
     point: Column,
 ) -> Column:
-    """What the weather tool answers for parsed geocoding and weather responses."""
+    """What the weather tool answers for parsed geocoding and weather responses.
+
+    A response that can't be read, or lacks what the text needs, is a failure.
+    """
+    failed = F.lit(fixed.WEATHER_FAILED + UNREADABLE)
     place = (city_name(city), city_country(city))
     current = F.format_string(fixed.CURRENT_TEXT, *place, *_readings(now))
     forecast = F.format_string(fixed.FORECAST_TEXT, *place, point["dt_txt"], *_readings(point))
     return (
         F.when(~days_ok(days), fixed.BAD_DAYS)
         .when(geo_status != 200, status_text(geo_status, fixed.GEO_STATUS))
+        .when(cities.isNull(), failed)
         .when(city.isNull(), F.format_string(fixed.CITY_UNKNOWN, location))
-        .when((days == 0) & (status == 200), current)
+        .when((days == 0) & (status == 200), F.when(readable(now), current).otherwise(failed))
         .when(days == 0, status_text(status, fixed.WEATHER_STATUS))
-        .when(status == 200, forecast)
+        .when(status == 200, F.when(readable(point) & point["dt_txt"].isNotNull(), forecast).otherwise(failed))
         .otherwise(status_text(status, fixed.FORECAST_STATUS))
     )
 

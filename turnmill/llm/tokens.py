@@ -4,10 +4,15 @@ A tokenizer that splits at white space gives a word the same ids wherever it sta
 text is cut before each run of white space; ids of the pieces are remembered by the Python
 worker, and only new pieces go to the library, many in one call. Texts for which such cuts
 might not hold (special tokens, control characters) go to the library whole.
+
+A piece that is one word of letters, perhaps with points and commas behind it, is put
+together from the ids of both; new words go to the library as one text with blanks between
+them, whose ids are parted where words begin (or end, if the tokenizer marks ends).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -15,13 +20,15 @@ import numpy as np
 
 from turnmill.llm.common import worker_store
 
-#: Pieces a worker remembers; at the limit it begins anew.
-REMEMBERED = 400_000
+#: Words and pieces a worker remembers. Words not met for so many others are forgotten.
+WORDS = 150_000
+PIECES = 200_000
 #: Pieces of one call of the library.
 TOGETHER = 2_000
 
 _PIECE = re.compile(r"\s*\S+|\s+")
-_WHOLE = re.compile(r"<\||[\x00\x1c-\x1f]")
+_CONTROLS = ("<|", "\0", "\x1c", "\x1d", "\x1e", "\x1f")
+_POINTS = ".,;:!?"
 SEPARATOR = "<|endoftext|>"
 
 
@@ -40,7 +47,14 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        ending = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.marks_ends = bool(ending)
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.edge = np.array([t.endswith(ending) if ending else t.startswith("Ġ") for t in tokens])
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -56,7 +70,7 @@ class WordEncoder:
 
         None if the text has to be encoded whole.
         """
-        if _WHOLE.search(text):
+        if any(c in text for c in _CONTROLS):
             return None
         regular = not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text)
         if regular and len(text.split()) == text.count(" ") + text.count("\n") + 1:
@@ -71,26 +85,69 @@ class WordEncoder:
     def piece(key: str) -> str:
         return key[1:] if key[0] == "\0" else key if key[0].isspace() else " " + key
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _parted(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece of text, from one call."""
+        ids = self._ids(SEPARATOR.join(pieces))
+        ends = [*np.flatnonzero(ids == self.separator).tolist(), len(ids)]
+        raw, starts = ids.tobytes(), [0, *[e + 1 for e in ends[:-1]]]
+        return [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+
+    def _new_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each behind a blank."""
+        ids = self._ids(" " + " ".join(words))
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):  # a letter that the tokenizer takes apart
+            return self._parted([" " + w for w in words])
+        cuts = [0, *(at + 1).tolist()] if self.marks_ends else [*at.tolist(), len(ids)]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def learn(self, keys: list[str]) -> None:
-        for i in range(0, len(keys), TOGETHER):
-            some = keys[i : i + TOGETHER]
-            text = SEPARATOR.join(map(self.piece, some))
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            ends = [*np.flatnonzero(ids == self.separator).tolist(), len(ids)]
-            raw, start = ids.tobytes(), 0
-            for key, end in zip(some, ends, strict=True):
-                self.known[key] = raw[4 * start : 4 * end]
-                start = end + 1
+        plain, other = [], []
+        for key in keys:
+            # Where ends are marked, white space before a word makes no difference.
+            bare = key.lstrip("\0\n") if self.marks_ends else key
+            word = bare.rstrip(_POINTS)
+            if word.isalpha():
+                folded = word.lower() if self.marks_ends and word.isascii() else word
+                plain.append((key, folded, bare[len(word) :]))
+            else:
+                other.append(key)
+        for i in range(0, len(other), TOGETHER):
+            some = other[i : i + TOGETHER]
+            self.known.update(zip(some, self._parted(list(map(self.piece, some))), strict=True))
+        new = []
+        for word in {w for _, w, _ in plain}:
+            if word not in self.words:
+                if word in self.older:
+                    self.words[word] = self.older[word]
+                else:
+                    new.append(word)
+        for i in range(0, len(new), TOGETHER):
+            some = new[i : i + TOGETHER]
+            self.words.update(zip(some, self._new_words(some), strict=True))
+        for key, word, tail in plain:
+            if tail not in self.tails:
+                self.tails[tail] = self._ids(tail).tobytes()
+            self.known[key] = self.words[word] + self.tails[tail]
+        if len(self.words) > WORDS:
+            self.words, self.older = {}, self.words
+        if len(self.tails) > 1000:
+            self.tails = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.keys(t) if t else [] for t in texts]
-        new = set().union(*(k for k in cut if k)) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
+        pieces = set().union(*(k for k in cut if k))
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > PIECES:
             self.known.clear()
-            new = set().union(*(k for k in cut if k))
-        self.learn(list(new))
+            new = pieces
+        if new:
+            self.learn(list(new))
         known = self.known.__getitem__
-        return [self.whole(t) if k is None else b"".join(map(known, k)) for t, k in zip(texts, cut, strict=True)]
+        return [
+            self._ids(t).tobytes() if k is None else b"".join(map(known, k)) for t, k in zip(texts, cut, strict=True)
+        ]

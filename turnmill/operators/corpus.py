@@ -10,39 +10,33 @@ from pyspark.sql import functions as F
 from turnmill import fixed
 from turnmill.functions import text as tx
 from turnmill.operators.joins import join_groups
-from turnmill.operators.rendering import TURNS_PER_PART
 
 
-def nest(messages: DataFrame, *, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Long rows to ``(conv_id, part, conversations)``, arrays in turn order.
+def nest(messages: DataFrame) -> DataFrame:
+    """Long rows to ``(conv_id, conversations)``: one record per conversation, its messages in turn order.
 
-    A conversation longer than ``turns_per_part`` turns continues in further parts.
+    Messages carry their turn, so gaps between turns survive.
     """
     entry = F.struct("turn", "role", F.col("text").alias("content"))
-    ordered = F.sort_array(F.collect_list(entry))
-    return messages.groupBy("conv_id", F.expr(f"turn div {turns_per_part}").alias("part")).agg(
-        F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias(
-            "conversations"
-        )
-    )
+    return messages.groupBy("conv_id").agg(F.sort_array(F.collect_list(entry)).alias("conversations"))
 
 
-def unnest(nested: DataFrame, *, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """Back to long rows; array order is turn order. ``part`` is optional."""
-    part = F.col("part") if "part" in nested.columns else F.lit(0)
-    return nested.select(
-        "conv_id", (part * turns_per_part).cast("long").alias("_base"), F.posexplode("conversations").alias("_pos", "_m")
-    ).select(
+def unnest(nested: DataFrame) -> DataFrame:
+    """Back to long rows; messages without a turn are numbered from 0."""
+    carried = "turn" in nested.schema["conversations"].dataType.elementType.names
+    turn = F.col("_m.turn") if carried else F.col("_pos").cast("long")
+    return nested.select("conv_id", F.posexplode("conversations").alias("_pos", "_m")).select(
         "conv_id",
-        (F.col("_base") + F.col("_pos")).alias("turn"),
+        turn.alias("turn"),
         F.col("_m.role").alias("role"),
         F.col("_m.content").alias("text"),
     )
 
 
 def to_messages(nested: DataFrame) -> DataFrame:
-    """``conversations`` renamed to ``messages``; every other column goes."""
-    return nested.select(F.col("conversations").alias("messages"))
+    """``conversations`` renamed to ``messages``, with role and content; all else goes."""
+    plain = F.transform("conversations", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return nested.select(plain.alias("messages"))
 
 
 def first_user_content(messages: Column) -> Column:

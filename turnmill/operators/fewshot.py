@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnmill import fixed
 from turnmill.operators.joins import join_groups
 
-MOST_SHOTS = 1_000
-
 
 def _item(number: Column, item) -> Column:
     def line(label: str, value: Column) -> Column:
@@ -29,25 +27,16 @@ def _item(number: Column, item) -> Column:
 def prefixes(dev: DataFrame, by: list[str]) -> DataFrame:
     """The instruction and all dev items, one row per group: ``(prefix, shots)``.
 
-    Every dev item of a group is part of each of its prompts. A group of more than
-    ``MOST_SHOTS`` fails the job; it is noticed without gathering the whole group.
+    Every dev item of a group is part of each of its prompts, so a group is one value by
+    definition, as large as the prompts it goes into.
     """
-    if by:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("item_id"))
-        noticed = dev.withColumn("_place", place).where(F.col("_place") <= MOST_SHOTS + 1)
-    else:
-        noticed = dev.orderBy("item_id").limit(MOST_SHOTS + 1)
     items = F.sort_array(F.collect_list(F.struct("item_id", "question", *fixed.LETTERS, "answer")))
     shown = F.transform(
         items,
         lambda item, i: F.concat(_item(i + 1, item), F.lit(" "), item["answer"], F.lit("\n\n")),
     )
-    shots = F.count(F.lit(1))
     whole = F.concat(F.lit(fixed.EXAM_INSTRUCTION), F.array_join(shown, ""))
-    too_many = F.raise_error(F.lit(f"more than {MOST_SHOTS} dev items for one prompt")).cast("string")
-    return noticed.groupBy(*by).agg(
-        F.when(shots <= MOST_SHOTS, whole).otherwise(too_many).alias("prefix"), shots.alias("shots")
-    )
+    return dev.groupBy(*by).agg(whole.alias("prefix"), F.count(F.lit(1)).alias("shots"))
 
 
 def few_shot_prompts(test: DataFrame, dev: DataFrame, by: list[str] | None = None, **limits) -> DataFrame:

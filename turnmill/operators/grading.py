@@ -14,9 +14,13 @@ from turnmill.operators.blocks import by_number, running
 ITEMS_PER_BLOCK = 1_000_000
 
 
-def grade(predictions: DataFrame, gold: DataFrame, on: Sequence[str] = ("item_id",)) -> DataFrame:
-    """Join predictions ``(.., response)`` with gold ``(.., answer)`` and compare."""
-    return grade_rows(predictions.join(gold, list(on)))
+def grade(predictions: DataFrame, gold: DataFrame, on: Sequence[str] = ("subject", "item_id")) -> DataFrame:
+    """Gold rows ``(.., answer)`` with their predictions ``(.., response)``, compared.
+
+    Item numbers repeat over subjects. Items without a prediction count as answered by nothing.
+    """
+    met = gold.join(predictions, list(on), "left")
+    return grade_rows(met.withColumn("response", F.coalesce("response", F.lit(""))))
 
 
 def grade_rows(rows: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from turnmill.functions import text as tx
 from turnmill.operators.blocks import Blocked, by_heavy_key, running, time_slot
 
-MESSAGES_PER_PART = 16_384
 
 
 def blocked_log(log: DataFrame, order: list[str], *, ts: str = "ts", unit: str = "hour", **limits) -> Blocked:
@@ -77,9 +76,9 @@ def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
     )
 
 
-def transcripts(history_rows: DataFrame, *, messages_per_part: int = MESSAGES_PER_PART) -> DataFrame:
-    """Each segment's kept messages, one per line; long segments go on in further parts."""
-    part = F.expr(f"(position - 1) div {messages_per_part}").alias("part")
-    return history_rows.groupBy("session", "segment", part).agg(
-        F.expr("listagg(message || chr(10), '') within group (order by position)").alias("transcript")
-    )
+def transcripts(history_rows: DataFrame) -> DataFrame:
+    """Each segment's kept messages as the lines of its transcript, with their places in it.
+
+    Lines stay rows: a segment may be of any length.
+    """
+    return history_rows.select("session", "segment", "position", "start", F.concat("message", F.lit("\n")).alias("line"))

@@ -1,9 +1,8 @@
 """Rendering conversations held one message per row: ``(conv_id, turn, role, text)``.
 
 An optional column ``tool_calls`` (array of name and arguments) belongs to assistant rows.
-A rendered conversation comes in parts of at most ``TURNS_PER_PART`` turn numbers, so the
-text one task has to hold is bounded; parts in order, put together, are the whole text.
-Conversations shorter than that have the one part 0.
+A rendered conversation stays in rows, one segment per message with its place in the whole
+text, so no task holds a conversation of any length; segments in order are the text.
 """
 
 from __future__ import annotations
@@ -17,7 +16,8 @@ from turnmill import fixed
 from turnmill.functions import chat
 from turnmill.operators.blocks import BLOCK, Blocked, by_number, neighbours, running
 
-TURNS_PER_PART = 16_384
+#: Turn numbers of a block of the ordered scans; results don't depend on it.
+TURNS_PER_BLOCK = 16_384
 
 
 def segments(
@@ -25,10 +25,10 @@ def segments(
     *,
     tools: Sequence[str] | Column | None = None,
     generation_prompt: bool = False,
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_block: int = TURNS_PER_BLOCK,
 ) -> Blocked:
     """Each message with its rendered ``segment`` and the trained range inside it."""
-    around = neighbours(by_number(messages, ["conv_id"], "turn", turns_per_part), "role")
+    around = neighbours(by_number(messages, ["conv_id"], "turn", turns_per_block), "role")
     content = F.coalesce(F.col("text"), F.lit(""))
     calls = F.col("tool_calls") if "tool_calls" in messages.columns else None
     # What a message says is written out once, in a column of its own.
@@ -73,12 +73,9 @@ def segments(
 
 
 def render(messages: DataFrame, **options) -> DataFrame:
-    """``(conv_id, part, text)``; options as for ``segments``."""
-    return (
-        segments(messages, **options)
-        .rows.groupBy("conv_id", F.col(BLOCK).alias("part"))
-        .agg(F.expr("listagg(segment, '') within group (order by turn)").alias("text"))
-    )
+    """``(conv_id, turn, start, segment)``: segments follow each other without gaps; options as for ``segments``."""
+    placed = running(segments(messages, **options), {"upto": ("sum", F.col("chars"))})
+    return placed.rows.select("conv_id", "turn", (F.col("upto") - F.col("chars")).alias("start"), "segment")
 
 
 def loss_spans(messages: DataFrame, **options) -> DataFrame:

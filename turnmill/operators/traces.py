@@ -119,16 +119,24 @@ def weather(payloads: DataFrame) -> DataFrame:
     found = tools.days_ok(days) & (F.col("geo_status") == 200)
     cities = F.from_json(F.when(found, F.col("geo_body")), tools.CITIES)
     weather_body = F.when(found & (F.col("status") == 200), F.col("body"))
-    parsed = payloads.withColumn("_city", F.get(cities, F.lit(0))).withColumn(
-        "_weather", F.from_json(weather_body, tools.WEATHER)
-    )
-    placed = parsed.withColumn("_point", tools.forecast_point(F.col("_weather.list"), days))
+    parsed = payloads.withColumns({"_cities": cities, "_weather": F.from_json(weather_body, tools.WEATHER)})
+    placed = parsed.withColumn("_city", F.get("_cities", F.lit(0))).withColumn("_point", tools.forecast_point(F.col("_weather.list"), days))
     text = tools.weather_text(
-        F.col("location"), days, F.col("geo_status"), F.col("_city"), F.col("status"), F.col("_weather"), F.col("_point")
-    )
+        F.col("location"), days, F.col("geo_status"), F.col("_cities"), F.col("_city"), F.col("status"),
+        F.col("_weather"), F.col("_point"),
+    )
     outcome = (
         F.when(~tools.days_ok(days), "rejected")
         .when(F.col("geo_status") != 200, tools.status_outcome(F.col("geo_status")))
         .otherwise(tools.status_outcome(F.col("status")))
     )
-    return placed.select(*payloads.columns, text.alias("answer"), outcome.alias("outcome"))
+    answered = placed.select(*payloads.columns, "_cities", "_city", text.alias("answer"), outcome.alias("_status"))
+    # A good status is not yet an answer.
+    failed = F.col("answer").startswith(fixed.WEATHER_FAILED)
+    named = (
+        F.when(F.col("_status").isin("rejected") | (F.col("geo_status") != 200), F.col("_status"))
+        .when(F.col("_cities").isNotNull() & F.col("_city").isNull(), "city_unknown")
+        .when(failed, "weather_failed")
+        .otherwise(F.col("_status"))
+    )
+    return answered.select(*payloads.columns, "answer", named.alias("outcome"))

@@ -75,8 +75,11 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """A list column as a (rows, dimensions) matrix in double precision."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    flat = column.flatten()
+    if len(column) and (flat.null_count or len(set(column.value_lengths().to_pylist())) > 1):
+        raise ValueError("vectors must have the same number of values, none of them null")
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
 def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -103,19 +106,19 @@ def _nearest(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
     found = []
     for at in range(0, len(queries), tile):
         part = queries[at : at + tile]
-        rough = (part * part).sum(axis=1)[:, None] + squares[None, :] - 2.0 * part @ vectors.T
-        # Equal vectors may differ in the last bits here; rounding makes their ties plain.
-        scale = max(1e-300, squares.max(initial=0.0), (part * part).sum(axis=1).max(initial=0.0))
-        rough = np.round(rough / scale, 12)
+        norms = (part * part).sum(axis=1)[:, None] + squares[None, :]
+        rough = norms - 2.0 * part @ vectors.T
+        # The rough distance is off by no more than the rounding of its terms, which grows
+        # with the two norms. All that may be among the k nearest is measured again.
+        slack = norms * (8.0 * (part.shape[1] + 8) * np.finfo(np.float64).eps)
         if rough.shape[1] > k:
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
-            row, col = np.nonzero(rough <= limit[:, None])
+            limit = np.partition(rough + slack, k - 1, axis=1)[:, k - 1]
+            row, col = np.nonzero(rough - slack <= limit[:, None])
         else:
             row, col = (a.ravel() for a in np.indices(rough.shape))
-        row, _, by_id = _best(row, rough[row, col], place[col], k)
-        col = by_place[by_id]
         gap = part[row] - vectors[col]
-        found.append((row + at, (gap * gap).sum(axis=1), ids[col]))
+        row, distance, by_id = _best(row, (gap * gap).sum(axis=1), place[col], k)
+        found.append((row + at, distance, ids[by_place[by_id]]))
     return tuple(np.concatenate(a) for a in zip(*found, strict=True))
 
 
@@ -393,7 +396,7 @@ def _other_cells(own: DataFrame, centres: np.ndarray, reach: dict[int, tuple[flo
             with np.errstate(divide="ignore", invalid="ignore"):
                 half = (there**2 - here[:, None] ** 2) / (2.0 * apart[home])
             low = np.maximum(low, np.where(np.isfinite(half), half, 0.0))
-            row, col = np.nonzero((low <= bound[:, None] + 1e-6) & (used[None, :] != home[:, None]))
+            row, col = np.nonzero((low <= bound[:, None] + 1e-6 * (1.0 + there)) & (used[None, :] != home[:, None]))
             if len(row):
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(

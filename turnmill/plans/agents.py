@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnmill import fixed
 from turnmill.functions import chat, tools
 from turnmill.operators import traces
-from turnmill.plans.inputs import PAYLOAD_SQL, SECOND_TOOL, TRACE_SQL, payloads, q, table, trace
+from turnmill.plans.inputs import PAYLOAD_SQL, POINTS, SECOND_TOOL, TRACE_SQL, payloads, q, table, trace
 
 # Zone by user: three of fixed offset, one that does not exist.
 ZONE = """case when user_id % 4 = 0 then 'Asia/Shanghai' when user_id % 4 = 1 then 'Asia/Tokyo'
@@ -85,7 +85,11 @@ def _readings(point: str, prefix: str) -> str:
         json_extract_string({point}, '$.main.humidity') || '%'"""
 
 
-_POINT = "json_extract(body, '$.list[1]')"  # every list has two points, every day is past them
+_POINT = f"json_extract(body, '$.list[' || least(8 * forecast_days, {POINTS - 1}) || ']')"
+_BROKEN = "(event_type = 'purchase' and value >= 5 and value < 8)"
+_UNREADABLE = "(event_type = 'view' and value < 5)"
+_FAILED = q(fixed.WEATHER_FAILED + tools.UNREADABLE)
+_LOCATED = "forecast_days between 0 and 5 and geo_status = 200"
 
 ORACLE = {
     "localized_time": f"""
@@ -123,7 +127,9 @@ ORACLE = {
         select event_id, case
             when forecast_days not between 0 and 5 then {q(fixed.BAD_DAYS)}
             when geo_status <> 200 then {_status('geo_status', fixed.GEO_STATUS)}
+            when {_BROKEN} then {_FAILED}
             when geo_body = '[]' then '错误: 找不到城市 ''' || location || '''，请检查城市名称是否正确'
+            when status = 200 and {_UNREADABLE} then {_FAILED}
             when forecast_days = 0 and status = 200
                 then {_PLACE} || '天气：' || {_readings('body', '')}
             when forecast_days = 0 then {_status('status', fixed.WEATHER_STATUS)}
@@ -131,8 +137,10 @@ ORACLE = {
                 {_readings(_POINT, '预计')}
             else {_status('status', fixed.FORECAST_STATUS)} end as answer,
             case when forecast_days not between 0 and 5 then 'rejected'
+                when {_LOCATED} and geo_body = '[]' then 'city_unknown'
+                when {_LOCATED} and ({_BROKEN} or (status = 200 and {_UNREADABLE})) then 'weather_failed'
                 else case case when geo_status <> 200 then geo_status else status end
                     when 200 then 'ok' when 401 then 'bad_key' when 429 then 'rate_limited' else 'failed' end
             end as outcome
-        from ({PAYLOAD_SQL})""",
+        from (select p.*, e.event_type, e.value from ({PAYLOAD_SQL}) p join events e using (event_id))""",
 }

@@ -28,13 +28,12 @@ def render_chat(spark: SparkSession, folder: str) -> DataFrame:
 def render_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same from nested rows, rendered in place."""
     nested = corpus.nest(_conversations(spark, folder))
-    return nested.select("conv_id", "part", chat.render_messages(F.col("conversations")).alias("text"))
+    return nested.select("conv_id", chat.render_messages(F.col("conversations")).alias("text"))
 
 
 def generation_prompt(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations without assistant turns, left open for the model to go on."""
-    asked = _conversations(spark, folder).where(F.col("role") != "assistant")
-    return rendering.render(asked, generation_prompt=True)
+    """Whole conversations, left open for the model to go on."""
+    return rendering.render(_conversations(spark, folder), generation_prompt=True)
 
 
 def loss_spans(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,8 +113,17 @@ def _segments(source: str, tools: bool = False, opening: bool = False) -> str:
 
 
 def _rendered(segments: str) -> str:
-    return f"""select conv_id, greatest(turn, 0) // {rendering.TURNS_PER_PART} as part,
-        string_agg(head || middle || tail, '' order by turn) as text from ({segments}) group by all"""
+    return f"""
+        select conv_id, turn, head || middle || tail as segment,
+               cast(coalesce(sum(length(head || middle || tail)) over (
+                   partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as bigint)
+                   as start
+        from ({segments})"""
+
+
+def _whole(segments: str) -> str:
+    return f"""select conv_id, string_agg(head || middle || tail, '' order by turn) as text
+        from ({segments}) group by conv_id"""
 
 
 def _spans(segments: str) -> str:
@@ -130,8 +138,8 @@ def _spans(segments: str) -> str:
 
 ORACLE = {
     "render_chat": _rendered(_segments(_PLAIN)),
-    "render_messages": _rendered(_segments(_PLAIN)),
-    "generation_prompt": _rendered(_segments(_PLAIN + " where role <> 'assistant'", opening=True)),
+    "render_messages": _whole(_segments(_PLAIN)),
+    "generation_prompt": _rendered(_segments(_PLAIN, opening=True)),
     "loss_spans": _spans(_segments(_PLAIN)),
     "loss_spans_tools": _spans(_segments(_TRACE, tools=True)),
     "loss_share": f"""

@@ -97,6 +97,9 @@ _POINT = (
 )
 
 
+POINTS = 12
+
+
 def _point(k: str) -> str:
     return _POINT.replace("{k}", f"cast({k} as string)")
 
@@ -107,11 +110,16 @@ PAYLOAD_COLUMNS = [
     f"cast({_K} % 7 as int) as forecast_days",
     "case when event_type = 'signup' and value < 5 then 429 when event_type = 'signup' and value < 8 then 503 else 200 end as geo_status",
     """case when event_type = 'purchase' and value < 5 then '[]'
+            when event_type = 'purchase' and value < 8 then '[{"name": "Beij'
             when event_type = 'purchase' then '[{"name": "Beijing", "country": "CN", "local_names": {"zh": "北京"}}]'
             else '[{"name": "Somewhere"}]' end as geo_body""",
     "case when event_type <> 'error' then 200 when value < 10 then 401 when value < 20 then 429 else 500 end as status",
-    f"""case when {_K} % 7 = 0 then {_point(_K)}
-            else '{{"list": [' || {_point(_K)} || ', ' || {_point(_K + " + 1")} || ']}}' end as body""",
+    # Some bodies break off; a forecast has twelve points, fewer than some days ask for.
+    f"""case when event_type = 'view' and value < 3 then '{{"list": [{{"main": '
+            when event_type = 'view' and value < 5 then '{{"list": []}}'
+            when {_K} % 7 = 0 then {_point(_K)}
+            else '{{"list": [' || {" || ', ' || ".join(_point(f"{_K} + {i}") for i in range(POINTS))} || ']}}'
+            end as body""",
 ]
 PAYLOAD_SQL = f"select {', '.join(PAYLOAD_COLUMNS)} from events"
 

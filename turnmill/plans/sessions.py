@@ -72,9 +72,7 @@ ORACLE = {
         from events""",
     "running_history": _HISTORY,
     "session_transcripts": f"""
-        select session, segment, (position - 1) // {history.MESSAGES_PER_PART} as part,
-               string_agg(message || chr(10), '' order by position) as transcript
-        from ({_HISTORY}) group by all""",
+        select session, segment, position, start, message || chr(10) as line from ({_HISTORY})""",
     "failed_turn_rollback": f"select session, seq, kind, kept from ({_CLASSIFIED})",
     "session_stream": _HISTORY,
 }

@@ -4,23 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnmill.functions.chat import unwrapped_call
 from turnmill.operators.vectors import clean_metadata_json
 
 CONVERSATIONS = "conversations array<struct<role:string,content:string>>"
 RICH_CONVERSATIONS = (
     "conversations array<struct<role:string,content:string,"
-    "tool_calls:array<struct<name:string,arguments:string>>>>"
+    "tool_calls:array<struct<name:string,arguments:string,function:struct<name:string,arguments:string>>>>>"
 )
 EXAM_ITEMS = "id long, question string, A string, B string, C string, D string, answer string"
 CHUNKS = "chunk_id string, text string, metadata string"
 
 
 def read_conversations(spark: SparkSession, path: str | list[str], *, with_tool_calls: bool = False) -> DataFrame:
-    """JSON Lines, one conversation per line, so files split freely."""
-    return spark.read.schema(RICH_CONVERSATIONS if with_tool_calls else CONVERSATIONS).json(path)
+    """JSON Lines, one conversation per line, so files split freely.
+
+    Tool calls may hold name and arguments themselves or in a ``function`` of their own.
+    """
+    if not with_tool_calls:
+        return spark.read.schema(CONVERSATIONS).json(path)
+
+    def message(m: Column) -> Column:
+        return m.withField("tool_calls", F.transform(m["tool_calls"], unwrapped_call))
+
+    rows = spark.read.schema(RICH_CONVERSATIONS).json(path)
+    return rows.withColumn("conversations", F.transform("conversations", message))
 
 
 def read_exam(
@@ -35,7 +46,7 @@ def read_exam(
         .select(
             F.col("id").alias("item_id"),
             "question", "A", "B", "C", "D", "answer",
-            F.regexp_extract(path, "([^/]+)/[^/]+$", 1).alias("subject"),
+            F.url_decode(F.replace(F.regexp_extract(path, "([^/]+)/[^/]+$", 1), F.lit("+"), F.lit("%2B"))).alias("subject"),
             F.regexp_extract(path, f"/({'|'.join(splits)})[^/]*$", 1).alias("split"),
         )
     )
