@@ -2,8 +2,13 @@
 
 A template is a text with marks: ``<<optional>> ... <<end>>`` around words that may be
 missing (marks nest), and ``<<words:NAME:MAX>>`` for up to MAX words of any kind, at least
-one. All else is mandatory wording that must stand word by word. Words are compared in
-lower case; what stands between words doesn't matter.
+one. Such a region ends where the wording after it (up to the next mark) first stands in
+full. ``one|other`` is either word. All else is mandatory wording that must stand word by
+word. Words are compared in lower case; what stands between words doesn't matter.
+
+Licenses are written out to their last word, so a text whose last clause is altered or
+missing has no label. Names of holders may have up to 200 words; a longer list of names
+isn't recognised.
 
 All templates become one automaton. It starts at every word that can begin a template and
 runs until no template can go on, so the work is one pass over the words and a few steps
@@ -41,7 +46,7 @@ TEMPLATES = {
         <<optional>> as published by the free software foundation either <<end>> version 3""",
     "gpl-2.0-notice": """licensed under <<optional>> the terms of <<end>> the gnu general public license
         <<optional>> as published by the free software foundation either <<end>> version 2""",
-    "copyright-notice": "copyright <<optional>> c <<end>> <<words:holder:8>> all rights reserved",
+    "copyright-notice": "copyright <<optional>> c <<end>> <<words:holder:200>> all rights reserved",
     "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software and
         associated documentation files the software to deal in the software without restriction including without
         limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the
@@ -50,29 +55,51 @@ TEMPLATES = {
         <<end>> shall be included in all copies or substantial portions of the software the software is provided as
         is without warranty of any kind express or implied including but not limited to the warranties of
         merchantability fitness for a particular purpose and noninfringement in no event shall
-        <<words:holder:12>> be liable for any claim damages or other liability whether in an action of contract
+        <<words:holder:200>> be liable for any claim damages or other liability whether in an action of contract
         tort or otherwise arising from out of or in connection with the software or the use or other dealings in
         the software""",
     "isc": """permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with
         or without fee is hereby granted provided that the above copyright notice and this permission notice appear
-        in all copies the software is provided as is and <<words:holder:8>> disclaims all warranties with regard to
-        this software including all implied warranties of merchantability and fitness""",
+        in all copies the software is provided as is and <<words:holder:200>> disclaims all warranties with regard to
+        this software including all implied warranties of merchantability and fitness in no event shall
+        <<words:holder:200>> be liable for any special direct indirect or consequential damages or any damages
+        whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other
+        tortious action arising out of or in connection with the use or performance of this software""",
     "bsd": """redistribution and use in source and binary forms with or without modification are permitted provided
         that the following conditions are met <<optional>> 1 <<end>> redistributions of source code must retain the
         above copyright notice this list of conditions and the following disclaimer <<optional>> 2 <<end>>
         redistributions in binary form must reproduce the above copyright notice this list of conditions and the
         following disclaimer in the documentation and or other materials provided with the distribution
-        <<optional>> <<optional>> 3 <<end>> neither the name of <<words:holder:12>> nor the names of its
+        <<optional>> <<optional>> 3 <<end>> neither the name of <<words:holder:200>> nor the names of its
         contributors may be used to endorse or promote products derived from this software without specific prior
-        written permission <<end>> this software is provided by <<words:provider:12>> as is and any express or
+        written permission <<end>> this software is provided by <<words:provider:200>> as is and any express or
         implied warranties including but not limited to the implied warranties of merchantability and fitness for a
-        particular purpose are disclaimed""",
+        particular purpose are disclaimed in no event shall <<words:holder:200>> be liable for any direct indirect
+        incidental special exemplary or consequential damages including but not limited to procurement of
+        substitute goods or services loss of use data or profits or business interruption however caused and on any
+        theory of liability whether in contract strict liability or tort including negligence or otherwise arising
+        in any way out of the use of this software even if advised of the possibility of such damage""",
     "zlib": """this software is provided as is without any express or implied warranty in no event will
-        <<words:holder:8>> be held liable for any damages arising from the use of this software permission is
+        <<words:holder:200>> be held liable for any damages arising from the use of this software permission is
         granted to anyone to use this software for any purpose including commercial applications and to alter it
-        and redistribute it freely subject to the following restrictions""",
+        and redistribute it freely subject to the following restrictions <<optional>> 1 <<end>> the origin of this
+        software must not be misrepresented you must not claim that you wrote the original software if you use this
+        software in a product an acknowledgment|acknowledgement in the product documentation would be appreciated
+        but is not required <<optional>> 2 <<end>> altered source versions must be plainly marked as such and must
+        not be misrepresented as being the original software <<optional>> 3 <<end>> this notice may not be removed
+        or altered from any source distribution""",
     "unlicense": """this is free and unencumbered software released into the public domain anyone is free to copy
-        modify publish use compile sell or distribute this software""",
+        modify publish use compile sell or distribute this software either in source code form or as a compiled
+        binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize
+        copyright laws the author or authors of this software dedicate any and all copyright interest in the
+        software to the public domain we make this dedication for the benefit of the public at large and to the
+        detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in
+        perpetuity of all present and future rights to this software under copyright law the software is provided as
+        is without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and noninfringement in no event shall
+        <<words:holder:200>> be liable for any claim damages or other liability whether in an action of contract
+        tort or otherwise arising from out of or in connection with the software or the use or other dealings in
+        the software <<optional>> for more information please refer to http|https unlicense org <<end>>""",
 }
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -91,6 +118,8 @@ class Automaton:
         self.steps: list[list[tuple[bytes | None, int]]] = [[]]
         self.silent: list[list[int]] = [[]]
         self.accepts: dict[int, str] = {}
+        self.closes: dict[int, set[int]] = {}  # at the end of the wording after a region: the region's states
+        self.closes: dict[int, set[int]] = {}  # what isn't followed any more once a state is reached
         for label, template in templates.items():
             start = self._state()
             self.silent[0].append(start)
@@ -108,24 +137,29 @@ class Automaton:
         return len(self.steps) - 1
 
     def _compile(self, template: str, at: int) -> int:
-        opened = []
-        for kind, _, most, word in _MARK.findall(template):
+        opened, region, out = [], set(), None
+        for kind, _, most, word in [*_MARK.findall(template), ("", "", "", "")]:
             if word:
-                for part in WORD.findall(word.encode().lower()):
+                either = word.encode().lower().split(b"|")
+                for parts in [either] if len(either) > 1 else [[p] for p in WORD.findall(either[0])]:
                     new = self._state()
-                    self.steps[at].append((part, new))
+                    self.steps[at] += [(part, new) for part in parts]
                     at = new
-            elif kind == "optional":
+                continue
+            if region and at != out:
+                self.closes[at], region = region, set()
+            if kind == "optional":
                 opened.append(at)
             elif kind == "end":
                 new = self._state()
                 self.silent[at].append(new)
                 self.silent[opened.pop()].append(new)
                 at = new
-            else:
+            elif kind:
                 out = self._state()
                 for _ in range(int(most)):
                     new = self._state()
+                    region.add(new)
                     self.steps[at].append((ANY, new))
                     self.silent[new].append(out)
                     at = new
@@ -146,6 +180,8 @@ class Automaton:
     def _next(self, states: frozenset[int], word: bytes | None) -> tuple[frozenset[int], tuple[str, ...]]:
         """The states after a word (None: one that no template names), and the labels accepted there."""
         after = self._closed({to for s in states for w, to in self.steps[s] if w is ANY or w == word})
+        for s in after & self.closes.keys():
+            after -= self.closes[s]
         return after, tuple(self.accepts[s] for s in after if s in self.accepts)
 
     def matches(self, words: Iterator[bytes]) -> dict[str, int]:
