@@ -4,8 +4,9 @@ Indicators are hashed: words (one and two in a row) and shapes of words (one to
 row). A shape is a word's case, the signs it ends with, and whether it repeats the word
 before. The ratio of an n-gram is the log of its smoothed share in texts of label 1 over
 that in texts of label 0. The linear model is fitted by dual coordinate descent on a
-bounded sample of labelled rows (``SAMPLE_ROWS``, those of least hash), and a sigmoid
-turns its margins into scores: it is fitted on the part of the sample kept aside for it.
+bounded sample of labelled rows that have a document (``SAMPLE_ROWS``, those of least hash;
+of texts over ``SAMPLE_CHARS`` up to ``LONG_BYTES`` together), and a sigmoid turns its
+margins into scores: it is fitted on the part of the sample kept aside for it.
 
 Null and empty texts have no n-grams and get the score of the bias alone. Labels that are
 null or belong to no document are left out; without rows of both labels every score is the
@@ -20,15 +21,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import bounded_batches, texts
 from turnmill.llm.features import VISIBLE, Spans, mix, slices
 
-#: Labelled rows the model is fitted on, at most; longer texts are not taken for fitting.
+#: Labelled rows the model is fitted on, at most.
 SAMPLE_ROWS = 8_000
+#: Texts over so many characters are long; the long ones of the sample have so many bytes together, at most.
 SAMPLE_CHARS = 20_000
+LONG_BYTES = 32_000_000
 WORD_BITS = 16
 SHAPE_BITS = 14
 BUCKETS = (1 << WORD_BITS) + (1 << SHAPE_BITS)
@@ -168,14 +171,49 @@ def training_rows(
 ) -> DataFrame:
     """Up to ``limit`` labelled rows outside the held-out fifth, those of least hash, with their documents.
 
-    What one task gets is bounded by ``limit`` and ``SAMPLE_CHARS``.
+    Only labels with a document count. What one task gets is bounded by ``limit``,
+    ``SAMPLE_CHARS`` and ``LONG_BYTES``; see ``within_budget``.
     """
     known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
     known = known.where(F.col("__id").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__id"))).distinct()
-    sample = known.orderBy(F.xxhash64("__id"), "__id", "__label").limit(limit)
-    # The sample's size is bounded by ``limit``.
-    short = docs.where(F.length(F.coalesce(F.col(text), F.lit(""))) <= SAMPLE_CHARS)
-    return short.join(F.broadcast(sample), short[doc_id] == sample["__id"])
+    body = F.coalesce(F.col(text), F.lit(""))
+    sizes = docs.select(
+        F.col(doc_id).alias("__id"), F.length(body).alias("__chars"), F.octet_length(body).alias("__bytes")
+    )
+    usable = sizes.join(known, "__id").groupBy("__id", "__label").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__bytes").alias("__bytes"), F.max("__chars").alias("__chars")
+    )
+    usable = usable.withColumn("__hash", F.xxhash64("__id"))
+    short, long = [
+        usable.where(kind).orderBy("__hash", "__id", "__label").limit(limit)
+        for kind in (F.col("__chars") <= SAMPLE_CHARS, F.col("__chars") > SAMPLE_CHARS)
+    ]
+    # The driver gets twice ``limit`` rows of numbers at most.
+    taken = within_budget(short.union(long).collect(), limit)
+    sample = docs.sparkSession.createDataFrame(taken, known.schema)
+    return docs.join(F.broadcast(sample), docs[doc_id] == sample["__id"])
+
+
+def within_budget(rows: list[Row], limit: int) -> list[tuple]:
+    """(id, label) in the order of the hash, as far as rows and, for long texts, bytes are left.
+
+    What doesn't fit is passed over for the next that does. A label of which nothing fits is
+    still learned from: from its shortest text.
+    """
+    taken, over, room = [], [], LONG_BYTES
+    for r in sorted(rows, key=lambda r: (r["__hash"], r["__id"], r["__label"])):
+        if limit <= 0:
+            break
+        size = r["__bytes"] if r["__chars"] > SAMPLE_CHARS else 0
+        if r["__n"] > limit or size > room:
+            over.append(r)
+            continue
+        taken.append((r["__id"], r["__label"]))
+        limit, room = limit - r["__n"], room - size
+    for label in {r["__label"] for r in over} - {label for _, label in taken}:
+        least = min((r for r in over if r["__label"] == label), key=lambda r: r["__bytes"])
+        taken.append((least["__id"], label))
+    return taken
 
 
 def held_out(doc_id):
