@@ -18,6 +18,14 @@ def _rule(rule) -> str:
     return f"(({' and '.join(held)}) or n_words < {rule.from_words})"
 
 
+def _all_orders(letters: str = "ABCDE") -> str:
+    names = [f"l{i}" for i in range(1, len(letters) + 1)]
+    differ = " and ".join(f"{a} <> {b}" for i, a in enumerate(names) for b in names[i + 1 :])
+    values = ", ".join(f"('{x}')" for x in letters)
+    tables = ", ".join(f"(values {values}) as t{n}({n})" for n in names)
+    return f"select {' || '.join(names)} as filter_order from {tables} where {differ}"
+
+
 ORACLE = {
     "op2_warc_transactions": f"""
         with p as (select page_id, coalesce(html, '') as body from pages),
@@ -58,4 +66,34 @@ ORACLE = {
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                not base_failed and {' and '.join(map(_rule, RULES))} as kept
         from b""",
+    "op13_filter_audit": f"""
+        with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+        w as (select *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words
+              from t),
+        l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by 1),
+        f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+                     case when len(words) < 50 then 'A' else '' end
+                     || case when 100 * len(list_distinct(words)) < 65 * len(words) then 'B' else '' end
+                     || case when 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 5 * length(text)
+                             then 'C' else '' end
+                     || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+                     || case when doc_id > min(doc_id) over (partition by text) then 'E' else '' end as fails
+              from w left join l using (doc_id)),
+        c as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+        o as ({_all_orders()}),
+        s as (select filter_order, step, substr(filter_order, step, 1) as own, substr(filter_order, 1, step - 1) as before
+              from o, unnest(range(1, 6)) as u(step)),
+        e as (select *, contains(fails, own) as fail,
+                     len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0
+                     and fails <> '' and before <> '' as gone
+              from c, s)
+        select part, filter_order, step::int as step,
+               coalesce(sum(n) filter (not gone and not fail), 0)::bigint as kept,
+               coalesce(sum(n) filter (fail and not gone), 0)::bigint as removed,
+               coalesce(sum(n) filter (fail and gone), 0)::bigint as redundant,
+               coalesce(sum(n) filter (fails = own), 0)::bigint as unique_fails,
+               coalesce(sum(good) filter (fail and not gone), 0)::bigint as good_lost,
+               coalesce(sum(toxic) filter (fail and not gone), 0)::bigint as toxic_lost,
+               coalesce(sum(n * 120 // greatest(length(fails), 1)) filter (fail), 0)::bigint as shapley
+        from e group by part, filter_order, step""",
 }
