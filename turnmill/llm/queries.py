@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import audit, bpe, hamming, licenses, near, packing, quality, rules, token_files, toxicity, warc
+from turnmill.llm import audit, bpe, hamming, licenses, near, packing, quality, rules, token_files, toxicity, warc, whitening
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
@@ -113,6 +113,11 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
 def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text", "source")
     return audit.audit(docs, table(spark, folder, "labels"))
@@ -131,6 +136,7 @@ QUERIES = {
         op8_rank_bpe,
         op9_license_templates,
         op10_ngram_join,
+        op12_whitening,
         op13_filter_audit,
     )
 }
