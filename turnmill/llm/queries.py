@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import audit, bpe, hamming, licenses, near, packing, quality, rules, token_files, toxicity, warc, whitening
+from turnmill.llm import audit, bpe, hamming, licenses, main_text, near, packing, quality, rules, token_files, toxicity, warc, whitening
 from turnmill.llm.common import documents
 from turnmill.llm.oracle import ORACLE
 from turnmill.plans.inputs import table
@@ -113,6 +113,12 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    found = pages.select("page_id", "url", main_text.main_text(F.col("html")).alias("text"))
+    return found.select("*", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return whitening.whiten(rows, whitening.fit(rows))
@@ -136,6 +142,7 @@ QUERIES = {
         op8_rank_bpe,
         op9_license_templates,
         op10_ngram_join,
+        op11_main_text,
         op12_whitening,
         op13_filter_audit,
     )
