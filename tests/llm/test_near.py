@@ -120,3 +120,25 @@ def test_embedding_estimates():
         truth = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         seen = np.mean(near.embedding(a) == near.embedding(b))
         assert abs(seen - truth) < 5 * np.sqrt(truth * (1 - truth) / min(n, 128)) + 0.02
+
+
+def test_large_group(spark):
+    """One group of near copies that fills several blocks: every link is counted, one document stays."""
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(700):
+        words = list(base)
+        words[int(rng.integers(0, 120))] = f"x{i % 300}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(rng.choice(["a", "b", "c", "d"], 60))) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    assert compared(near.near_duplicates(docs, recall=0.99999), rows) == {}
+
+
+def test_clashing_columns(spark):
+    rows = [(i, f"text number {i // 2} of a few", 1, 2, 3, {"k": "v"}) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __a long, set long, row long, path map<string,string>")
+    kept = near.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] % 2 == 0]

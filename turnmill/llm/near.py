@@ -8,10 +8,12 @@ Buckets of up to ``BUCKET`` sets are compared by brute force; larger ones are sp
 and those left at ``DEPTH`` are compared block by block, so none is cut. Runs are repeated
 until pairs at the threshold are found with the target recall.
 
-Equal sets are one set from the start, so copies are never paired. In a bucket the
-embeddings rule out most pairs (by five standard deviations); the others are compared
-shingle by shingle, each pair in only one of the buckets it shares. What leaves a bucket
-grows with its members, not with its pairs.
+Equal sets are one set from the start, so copies are never paired. A bucket is dealt to
+blocks, and each two blocks meet in a cell, so that no task gets more than a cell at once.
+There the embeddings rule out most pairs (by five standard deviations); the others are
+compared shingle by shingle, each pair in only one of the buckets it shares. A cell sends
+on its members with a bit for each other member (at most ``2 * BLOCK``), and in the end a
+count of links and one name for each member, however many pairs there are.
 
 Documents are told apart by id and text together: repeated rows are one document, null ids
 are allowed. Null, empty and blank texts have no shingles: each is a class of its own
@@ -41,6 +43,11 @@ COORDINATES = 128
 BRANCHING = 2.0
 BUCKET = 2_048
 DEPTH = 3
+#: Sets of one block of a bucket; a set of more shingles than ``HEAVY`` counts as several.
+BLOCK = 256
+HEAVY = 4_096
+#: Edges up to which one task joins them: steps over one partition need no exchange.
+EDGES_PER_TASK = 1_000_000
 #: Standard deviations by which an embedding must fall short to rule a pair out.
 DEVIATIONS = 5.0
 NO_ID = -(2**63)
@@ -141,7 +148,7 @@ def _values(column: pa.Array) -> np.ndarray:
 
 
 def _split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
-    """(path, set) of the next level; ``runs``: of the first level, which starts at the roots of all runs."""
+    """(path, set, weight) of the next level; ``runs``: of the first level, which starts at the roots of all runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,28 +160,33 @@ def _split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
             for paths in starts:
                 row, out = children(paths, values, similarity)
                 yield pa.RecordBatch.from_pydict(
-                    {"path": pa.array(out.view(np.int64)), "set": batch.column("set").take(pa.array(row))}
+                    {
+                        "path": pa.array(out.view(np.int64)),
+                        "set": batch.column("set").take(pa.array(row)),
+                        "weight": batch.column("weight").take(pa.array(row)),
+                    }
                 )
 
-    return bounded_batches(rows).mapInArrow(run, "path long, set binary")
+    return bounded_batches(rows).mapInArrow(run, "path long, set binary, weight long")
 
 
 def _shared(paths: DataFrame) -> DataFrame:
-    """The rows of paths that two sets share at least, with the number of sets."""
-    rows = paths.distinct().withColumn("salt", F.xxhash64("set"))
-    count = F.count(F.lit(1)).alias("members")
-    return attach(rows, "path", rows, (count, "sum"), having=F.col("members") > 1).drop("salt")
+    """The rows of paths that two sets share at least, with the number and the weight of the sets."""
+    rows = paths.withColumn("salt", F.xxhash64("set"))
+    aggs = ((F.count(F.lit(1)).alias("members"), "sum"), (F.sum("weight").alias("total"), "sum"))
+    return attach(rows, "path", rows, *aggs, having=F.col("members") > 1).drop("salt", "weight")
 
 
 def buckets(sets: DataFrame, similarity: float, recall: float, bucket: int, depth: int) -> DataFrame:
-    """(path, set, members): the buckets to compare, over all runs; ``sets`` has set and values."""
-    found = staged(_shared(_split(sets.select("set", "values"), similarity, runs_for(similarity, recall))), "paths")
+    """(path, set, members, total): the buckets to compare, over all runs; ``sets`` has set, values and size."""
+    sets = sets.select("set", "values", (1 + F.expr(f"size div {HEAVY}")).alias("weight"))
+    found = staged(_shared(_split(sets, similarity, runs_for(similarity, recall))), "paths")
     ready = [found.where(F.col("members") <= bucket)]
     for level in range(2, depth + 1):
         large = found.where(F.col("members") > bucket)
         if large.isEmpty():
             break
-        rows = large.select("path", "set").join(sets.select("set", "values"), "set")
+        rows = large.select("path", "set").join(sets, "set")
         found = staged(_shared(_split(rows, similarity)), f"paths-{level}")
         ready.append(found if level == depth else found.where(F.col("members") <= bucket))
     out = ready[0]
@@ -212,90 +224,135 @@ def _gather(rows: DataFrame, *keys: str) -> DataFrame:
 CELL = ["path", "i", "j"]
 
 
-def candidates(found: DataFrame, sets: DataFrame, similarity: float, bucket: int) -> DataFrame:
-    """Members of each cell with the places of the members each has to be compared with shingle by shingle.
-
-    A bucket over the size is dealt to blocks, and each two blocks meet in a cell.
-    """
-    n = F.ceil(F.col("members") / bucket).cast("int")
-    block = F.pmod(F.xxhash64("set"), n).cast("int")
+def _owned(paths: list[np.ndarray], path: int) -> np.ndarray:
+    """Whether two members meet in no bucket of a lesser path (rows by rows)."""
+    lesser = [p[p < path] for p in paths]
+    row = np.repeat(np.arange(len(paths)), [len(p) for p in lesser])
+    _, column, count = np.unique(np.concatenate(lesser), return_inverse=True, return_counts=True)
+    several = count[column] > 1
+    row, column = row[several], np.unique(column[several], return_inverse=True)[1]
+    met = np.zeros((len(paths),) * 2, dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        a, b = np.searchsorted(column, [start, start + 1024])
+        part = np.zeros((len(paths), 1024), dtype=np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        met += part @ part.T
+    return met == 0
+
+
+def _asked(size: np.ndarray, values: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sizes and embeddings leave it open that two members are similar (rows by rows)."""
+    out = np.zeros((len(size),) * 2, dtype=bool)
+    for x in range(len(size) - 1):
+        low, high = np.minimum(size[x], size[x + 1 :]), np.maximum(size[x], size[x + 1 :])
+        y = x + 1 + np.flatnonzero(low >= similarity * high)
+        if len(y):
+            alike = (values[y] == values[x]).mean(axis=1)
+            slack = DEVIATIONS * np.sqrt(similarity * (1 - similarity) / np.minimum(COORDINATES, low[y - x - 1]))
+            out[x, y[alike >= similarity - slack]] = True
+    return out | out.T
+
+
+def candidates(found: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Members of each cell that have to be compared shingle by shingle, with a bit for each other one."""
+    n = F.ceil(F.col("total") / block).cast("int")
+    own = F.pmod(F.xxhash64("set"), n).cast("int")
     others = F.sequence(F.lit(0), n - 1)
-    cells = found.select("path", "set", block.alias("block"), F.explode(others).alias("other")).select(
+    cells = found.select("path", "set", own.alias("block"), F.explode(others).alias("other")).select(
         "path", "set", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     paths = found.groupBy("set").agg(F.collect_set("path").alias("paths"))
-    known = sets.select("set", "size", "values").join(paths, "set")
+    known = sets.select("set", "size", "values", "copies", "first.a", "first.b").join(paths, "set")
     rows = _gather(cells.join(known, "set"), *CELL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _grouped(batches, CELL):
-            if cell.num_rows < 2:
-                continue
-            path = cell["path"][0].as_py()
-            size = np.array(cell["size"].to_pylist())
-            values = _values(cell["values"])
             block = np.array(cell["block"].to_pylist())
             crossing = cell["i"][0].as_py() != cell["j"][0].as_py()
-            lists = [np.sort(np.array(p, dtype=np.int64)) for p in cell["paths"].to_pylist()]
-            partners: list[list[int]] = [[] for _ in lists]
-            for x in range(len(lists) - 1):
-                y = np.arange(x + 1, len(lists))
-                low, high = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
-                y = y[(low >= similarity * high) & ((block[y] != block[x]) | (not crossing))]
-                if not len(y):
-                    continue
-                alike = (values[y] == values[x]).mean(axis=1)
-                slack = DEVIATIONS * np.sqrt(similarity * (1 - similarity) / np.minimum(COORDINATES, size[x]))
-                for other in y[alike >= similarity - slack]:
-                    # Of the buckets that both are in, the pair belongs to the least.
-                    if np.intersect1d(lists[x], lists[other], assume_unique=True)[0] == path:
-                        partners[x].append(int(other))
-            hit = sorted({x for x, p in enumerate(partners) if p} | {y for p in partners for y in p})
-            if hit:
-                place = {x: n for n, x in enumerate(hit)}
-                take = pa.array(hit)
+            if cell.num_rows < 2 or (crossing and block.min() == block.max()):
+                continue
+            asked = _asked(np.array(cell["size"].to_pylist()), _values(cell["values"]), similarity)
+            if crossing:
+                asked &= block[:, None] != block[None, :]
+            hit = np.flatnonzero(asked.any(axis=1))
+            if not len(hit):
+                continue
+            asked = asked[np.ix_(hit, hit)]
+            path = cell["path"][0].as_py()
+            asked &= _owned([np.array(cell["paths"][i].as_py(), dtype=np.int64) for i in hit.tolist()], path)
+            left = np.flatnonzero(asked.any(axis=1))
+            if len(left):
+                take = pa.array(hit[left])
+                bits = np.packbits(asked[np.ix_(left, left)], axis=1)
                 yield pa.RecordBatch.from_pydict(
-                    {k: cell[k].take(take).combine_chunks() for k in (*CELL, "set")}
-                    | {"place": pa.array(range(len(hit)), pa.int32())}
-                    | {"partners": pa.array([[place[y] for y in partners[x]] for x in hit], pa.list_(pa.int32()))}
+                    {k: cell[k].take(take).combine_chunks() for k in (*CELL, "set", "a", "b", "copies")}
+                    | {"place": pa.array(range(len(left)), pa.int32())}
+                    | {"bits": pa.array([x.tobytes() for x in bits], pa.binary())}
                 )
 
     return bounded_batches(rows).mapInArrow(
-        run, "path long, i int, j int, set binary, place int, partners array<int>"
+        run, "path long, i int, j int, set binary, a long, b long, copies long, place int, bits binary"
     )
 
 
-def verified(asked: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+def _shared_counts(sets_of: list[np.ndarray], asked: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each member the later members it is compared with, and how many shingles they share."""
+    sizes = np.array([len(x) for x in sets_of])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    distinct, flat = np.unique(np.concatenate(sets_of), return_inverse=True)
+    mark = np.zeros(len(distinct), dtype=bool)
+    for x in range(len(sets_of) - 1):
+        others = x + 1 + np.flatnonzero(asked[x, x + 1 :])
+        if not len(others):
+            continue
+        own = flat[starts[x] : starts[x + 1]]
+        mark[own] = True
+        first, last = others[0], others[-1] + 1
+        if 2 * sizes[others].sum() > starts[last] - starts[first]:
+            # Most of what stands between the first and the last is asked for.
+            both = np.add.reduceat(mark[flat[starts[first] : starts[last]]], starts[first:last] - starts[first], dtype=np.int64)
+            both = both[others - first]
+        else:
+            some = np.concatenate([flat[starts[y] : starts[y + 1]] for y in others.tolist()])
+            both = np.add.reduceat(mark[some], np.concatenate([[0], np.cumsum(sizes[others])[:-1]]), dtype=np.int64)
+        mark[own] = False
+        yield x, others, both
+
+
+def verified(asked: DataFrame, docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     """(set, links, root) for each cell: documents linked to the set's members there, and a set of its component."""
-    named = asked.join(sets.select("set", "first", "copies"), "set")
-    named = named.withColumns({"__a": F.col("first")["a"], "__b": F.col("first")["b"]}).drop("first")
+    named = asked.withColumnsRenamed({"a": "__a", "b": "__b"})
     rows = identified(docs, doc_id, text).select("__a", "__b", F.col(text).alias("text")).join(named, ["__a", "__b"])
     # A document that comes twice must not stand in a cell twice.
     rows = rows.dropDuplicates([*CELL, "set"]).drop("__a", "__b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _grouped(batches, CELL):
-            by_place = np.argsort(cell["place"].to_numpy())
-            cell = cell.take(pa.array(by_place))
+            cell = cell.take(pa.array(np.argsort(cell["place"].to_numpy())))
+            n = cell.num_rows
             sets_of = shingle_sets([t.lower().encode() for t in cell["text"].to_pylist()])
-            copies = cell["copies"].to_pylist()
-            links, top = [0] * len(copies), list(range(len(copies)))
+            bits = np.frombuffer(b"".join(cell["bits"].to_pylist()), dtype=np.uint8).reshape(n, -1)
+            pairs = np.unpackbits(bits, axis=1, count=n).astype(bool)
+            size = np.array([len(x) for x in sets_of])
+            copies = cell["copies"].to_numpy()
+            links, top = np.zeros(n, dtype=np.int64), list(range(n))
 
             def find(x: int, top=top) -> int:
                 while top[x] != x:
                     top[x] = x = top[top[x]]
                 return x
 
-            for x, others in enumerate(cell["partners"].to_pylist()):
-                for y in others:
-                    both = len(np.intersect1d(sets_of[x], sets_of[y], assume_unique=True))
-                    if both >= similarity * (len(sets_of[x]) + len(sets_of[y]) - both):
-                        links[x] += copies[y]
-                        links[y] += copies[x]
-                        a, b = sorted((find(x), find(y)))
-                        top[b] = a
+            for x, others, both in _shared_counts(sets_of, pairs):
+                others = others[both >= similarity * (size[x] + size[others] - both)]
+                links[x] += copies[others].sum()
+                links[others] += copies[x]
+                for y in others.tolist():
+                    a, b = sorted((find(x), find(y)))
+                    top[b] = a
             names = cell["set"].to_pylist()
-            out = [(names[x], links[x], names[find(x)]) for x in range(len(names)) if links[x]]
+            out = [(names[x], int(links[x]), names[find(x)]) for x in range(n) if links[x]]
             if out:
                 kinds = (pa.binary(), pa.int64(), pa.binary())
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
@@ -304,6 +361,13 @@ def verified(asked: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, te
     return bounded_batches(_gather(rows, *CELL)).mapInArrow(run, "set binary, links long, root binary")
 
 
+def _edges(df: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges written and read back, with what tells them from others: their number and a sum of hashes."""
+    out = staged(df.where("u <> v").distinct(), "edges")
+    mark = out.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    return out.coalesce(max(1, -(-mark[0] // EDGES_PER_TASK))), tuple(mark)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(set, component) of the sets that edges (u, v) link; a component is named by its least set.
 
@@ -311,19 +375,18 @@ def components(edges: DataFrame) -> DataFrame:
     least one around, first the greater and then the smaller ones, until nothing moves.
     Every step is written to the shared folder.
     """
-    now = staged(edges.where("u <> v").distinct(), "edges")
+    now, mark = _edges(edges)
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        turned = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+        both = now.select(F.explode(F.array(F.struct("u", "v"), turned)).alias("e")).select("e.u", "e.v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        down = staged(down, "edges")
+        down, _ = _edges(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v"))
-        new = staged(small.where("u <> v").distinct(), "edges")
-        moved = new.exceptAll(now).isEmpty() and now.exceptAll(new).isEmpty()
-        now = new
-        if moved:
+        before = mark
+        now, mark = _edges(small)
+        if mark == before:
             return now.select(F.col("u").alias("set"), F.col("v").alias("component"))
 
 
@@ -348,8 +411,8 @@ def near_duplicates(
     )
     sets = staged(sets, "sets")
     found = staged(buckets(sets, similarity, recall, bucket, depth), "buckets")
-    asked = staged(candidates(found, sets, similarity, bucket), "candidates")
-    links = staged(verified(asked, docs, sets, doc_id, text, similarity), "links")
+    asked = staged(candidates(found, sets, similarity, min(BLOCK, bucket)), "candidates")
+    links = staged(verified(asked, docs, doc_id, text, similarity), "links")
     linked = components(links.select(F.col("set").alias("u"), F.col("root").alias("v")))
     # A class takes its name from its least document.
     counts = links.groupBy("set").agg(F.sum("links").alias("links"))
@@ -386,5 +449,6 @@ def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     """One document of each class, with the columns it came with; of repeated rows one."""
     classes = near_duplicates(docs, doc_id, text, **settings)
     firsts = classes.where("__a = class_a and __b = class_b").select("__a", "__b")
-    kept = identified(docs, doc_id, text).join(firsts, ["__a", "__b"], "left_semi")
-    return kept.dropDuplicates(["__a", "__b"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The caller's columns travel in one, whatever their names.
+    own = identified(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), f"row.{doc_id}", f"row.{text}")
+    return own.join(firsts, ["__a", "__b"], "left_semi").dropDuplicates(["__a", "__b"]).select("row.*")
