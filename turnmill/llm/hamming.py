@@ -6,7 +6,7 @@ meets each block of codes once. There a code is cut into segments, each with a t
 own; tables are searched at growing radii, one segment at a time, until the distance of the
 k-th best found is covered: after radius r in the first j segments and r - 1 in the others,
 every code closer than (segments * r + j) has been met. When the probes would outnumber
-the codes, the rest of the block is compared directly.
+the codes (weighed by what each costs), the rest of the block is compared directly.
 
 Ties go to the least id. A row is its own nearest neighbour unless told otherwise. Vectors
 that are null or hold a null are left out; vectors of different lengths are refused. Fewer
@@ -32,6 +32,8 @@ BLOCK_CODES = 8_192
 BLOCK_QUERIES = 1_024
 #: Queries of a block that are searched side by side.
 TOGETHER = 64
+#: Codes that are measured in the time of one probe of a table.
+PROBE_COST = 4
 
 
 def codes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -74,50 +76,100 @@ class Tables:
     def masks(size: int, radius: int) -> np.ndarray:
         return np.array([sum(1 << i for i in c) for c in combinations(range(size), radius)], dtype=np.int64)
 
+    def probe(self, j: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, code) of all codes that table ``j`` has under the keys (queries, probes)."""
+        low, high = self.offsets[j][keys], self.offsets[j][keys + 1]
+        found = (high - low).ravel()
+        ends = np.cumsum(found)
+        query = np.repeat(np.arange(len(keys)), found.reshape(keys.shape).sum(axis=1))
+        place = np.repeat(low.ravel() - ends + found, found) + np.arange(len(query))
+        return query, self.order[j][place]
+
     def search(self, queries: np.ndarray, counts: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each query the codes that can be among its k best rows, and their distances.
 
-        ``counts`` has the rows of each code (k at most).
+        ``counts`` has the rows of each code (k at most). All waiting queries go through a
+        table together; only codes that a query has not met before are measured, and how many
+        rows it has met at each distance tells when its k-th is covered.
         """
+        width = self.bytes.shape[1]
+        words = [x.view(np.uint64) for x in (_padded(self.bytes), _padded(queries))]
         bits = np.unpackbits(queries, axis=1)
-        values = [v for v, _, _ in self.segments(bits)]
+        values = np.stack([v for v, _, _ in self.segments(bits)])
         sizes = np.diff(self.edges)
         m, n = len(sizes), len(self.bytes)
+        most = 8 * width
+
+        def measure(query: np.ndarray, code: np.ndarray) -> np.ndarray:
+            total = np.zeros(len(query), dtype=np.int64)
+            for w in range(words[0].shape[1]):
+                total += np.bitwise_count(words[0][code, w] ^ words[1][query, w])
+            return total
+
         waiting = np.arange(len(queries))
-        met: list[np.ndarray] = [np.empty(0, dtype=np.int64) for _ in queries]
-        probes = radius = 0
-        while len(waiting):
+        seen = np.zeros((len(queries), n), dtype=bool)
+        met = np.zeros((len(queries), most + 1), dtype=np.int64)  # rows by distance
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for radius in range(int(max(sizes)) + 1):
             for j in range(m):
                 if radius > sizes[j]:
                     continue
                 masks = self.masks(int(sizes[j]), radius)
-                probes += len(masks)
-                direct = probes > n or radius >= max(sizes)
-                done = []
-                for q in waiting:
-                    if direct:
-                        met[q] = np.arange(n)
-                    else:
-                        keys = values[j][q] ^ masks
-                        low, high = self.offsets[j][keys], self.offsets[j][keys + 1]
-                        hit = np.flatnonzero(high > low)
-                        if len(hit):
-                            found = np.concatenate([self.order[j][low[h] : high[h]] for h in hit])
-                            met[q] = np.union1d(met[q], found)
-                    distance = np.bitwise_count(self.bytes[met[q]] ^ queries[q]).sum(axis=1, dtype=np.int64)
-                    covered = m * radius + j
-                    order = np.argsort(distance, kind="stable")
-                    enough = np.cumsum(counts[met[q]][order])
-                    at = np.searchsorted(enough, k)
-                    kth = distance[order[at]] if at < len(order) else None
-                    if direct or (kth is not None and kth <= covered):
-                        near = np.flatnonzero(distance <= kth) if kth is not None else np.arange(len(distance))
-                        yield int(q), met[q][near], distance[near]
-                        done.append(q)
-                waiting = np.setdiff1d(waiting, done)
-                if not len(waiting):
+                # A probe costs about as much as measuring a few codes: beyond that, all are measured.
+                if PROBE_COST * len(masks) > n or radius == max(sizes):
+                    yield from self._direct(words, counts, waiting, k)
                     return
-            radius += 1
+                query, code = self.probe(j, values[j][waiting][:, None] ^ masks)
+                query = waiting[query]
+                new = ~seen[query, code]
+                query, code = query[new], code[new]
+                seen[query, code] = True
+                distance = measure(query, code)
+                np.add.at(met, (query, distance), counts[code])
+                found.append((query, code, distance))
+                rows = np.cumsum(met[waiting], axis=1)
+                kth = np.where(rows[:, -1] >= k, (rows < k).sum(axis=1), most)
+                done = (rows[:, -1] >= k) & (kth <= m * radius + j)
+                if done.any():
+                    yield from self._nearest(found, waiting[done], kth[done])
+                    waiting = waiting[~done]
+                    if not len(waiting):
+                        return
+
+    @staticmethod
+    def _direct(words: list, counts: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The same for queries that are compared with every code."""
+        total = np.zeros((len(queries), len(words[0])), dtype=np.uint16)
+        for w in range(words[0].shape[1]):
+            total += np.bitwise_count(words[1][queries, w][:, None] ^ words[0][None, :, w])
+        for q, distance in zip(queries.tolist(), total.astype(np.int64), strict=True):
+            near = np.arange(len(distance))
+            if len(distance) > k:  # each code has a row at least
+                near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+            order = np.argsort(distance[near], kind="stable")
+            at = np.searchsorted(np.cumsum(counts[near][order]), k)
+            if at < len(order):
+                near = near[distance[near] <= distance[near[order[at]]]]
+            yield q, near, distance[near]
+
+    @staticmethod
+    def _nearest(found: list, queries: np.ndarray, kth: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """What the queries have met up to their k-th distance."""
+        query, code, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+        limit = np.full(int(max(query.max(initial=0), queries.max())) + 1, -1, dtype=np.int64)
+        limit[queries] = kth
+        near = np.flatnonzero(distance <= limit[query])
+        near = near[np.argsort(query[near], kind="stable")]
+        query = query[near]
+        for q, a, b in zip(queries, np.searchsorted(query, queries), np.searchsorted(query, queries, side="right"), strict=True):
+            yield int(q), code[near[a:b]], distance[near[a:b]]
+
+
+def _padded(rows: np.ndarray) -> np.ndarray:
+    """Codes with zero bytes behind, so that they are whole words."""
+    out = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), dtype=np.uint8)
+    out[:, : rows.shape[1]] = rows
+    return out
 
 
 CELL = ["i", "j"]
