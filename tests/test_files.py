@@ -92,11 +92,11 @@ def test_stream_over_several_batches_equals_batch(spark, tmp_path):
         part = events.where(F.col("event_id").between(n * 250, n * 250 + 249)).coalesce(1)
         part.write.mode("append").parquet(str(tmp_path / "log"))
     stream = sessions.read_log(spark, str(tmp_path / "log"), inputs.SCHEMAS["events"], files_per_trigger=1)
-    kept = sessions.session_history(stream.selectExpr(*inputs.LOG_COLUMNS))
-    query = sessions.write_history(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    log = stream.selectExpr(*inputs.LOG_COLUMNS)
+    query = sessions.write_history(log, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) >= 2
-    got = spark.read.parquet(str(tmp_path / "out")).select(*SHOWN)
+    got = sessions.read_history(spark, str(tmp_path / "out")).select(*SHOWN)
     want = history.history(inputs.log(spark, FOLDER), ORDER).select(*SHOWN)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
@@ -110,8 +110,8 @@ def test_idle_sessions_start_again(spark, tmp_path):
         stream = sessions.read_log(
             spark, str(tmp_path / "log"), "session long, seq long, ts timestamp_ntz, text string, ok boolean"
         )
-        kept = sessions.session_history(stream, idle="10 minutes")
-        sessions.write_history(kept, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+        query = sessions.write_history(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), idle="10 minutes")
+        query.awaitTermination()
 
     from datetime import datetime
 
@@ -121,5 +121,26 @@ def test_idle_sessions_start_again(spark, tmp_path):
     run()
     add([(1, 2, datetime(2024, 1, 1, 5, 1), "b", True), (2, 2, datetime(2024, 1, 1, 5, 1), "y", True)])
     run()
-    got = spark.read.parquet(str(tmp_path / "out")).select("session", "seq", "position").collect()
+    got = sessions.read_history(spark, str(tmp_path / "out")).select("session", "seq", "position").collect()
     assert sorted(map(tuple, got)) == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (2, 2, 2)]
+
+
+@pytest.mark.parametrize("every", [2, 32])
+def test_repeated_micro_batches(spark, tmp_path, monkeypatch, every):
+    """A micro-batch run again, whole or from its middle, changes nothing; hot and null sessions too."""
+    monkeypatch.setattr(sessions, "SNAPSHOT_EVERY", every)
+    path = str(tmp_path / "out")
+    log = inputs.log(spark, FOLDER).withColumn(
+        "session", F.when(F.col("session") % 3 > 0, None).otherwise(F.col("session"))
+    )
+    limits = {"share": 0.1, "min_rows": 10, "size": 32}
+    parts = [log.where(F.col("seq").between(n * 250, n * 250 + 249)) for n in range(4)]
+    sessions.take_batch(parts[0], 0, path, **limits)
+    sessions.take_batch(parts[0], 0, path, **limits)
+    # The second has written its history, but not its numbers: it is taken in anew.
+    parts[3].select("session", "seq").write.parquet(f"{path}/history/batch=1")
+    for n in (1, 2, 2, 1, 3):
+        sessions.take_batch(parts[n], n, path, **limits)
+    got = sessions.read_history(spark, path).select(*SHOWN)
+    want = history.history(log, ORDER).select(*SHOWN)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

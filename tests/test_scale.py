@@ -27,13 +27,23 @@ def skewed_log(spark):
     return log.withColumn("session", F.when(F.col("session") % 3 > 0, 0).otherwise(F.col("session")).cast("long"))
 
 
-@pytest.mark.parametrize("unit", ["day", "hour", "minute"])
-def test_heavy_session_equals_plain(spark, unit):
+@pytest.mark.parametrize("size", [1, 16, 300, 1 << 20])
+@pytest.mark.parametrize("moment", [False, True])
+def test_heavy_session_equals_plain(spark, size, moment):
+    """A session with most rows, in one moment too, lies in several blocks of at most ``size`` rows."""
     log = skewed_log(spark)
+    if moment:
+        log = log.withColumn("ts", F.min("ts").over(Window.partitionBy(F.lit(1))))
+    log = log.withColumn("session", F.when(F.col("session") == 0, None).otherwise(F.col("session")))
     plain = history.history(log, ORDER)
-    cut = history.history(log, ORDER, unit=unit, share=0.1, min_rows=10)
+    limits = {"share": 0.1, "min_rows": 10, "size": size}
     assert len(blocks.heavy_keys(log, ["session"], 0.1, 10)) == 1
-    assert rows_of(cut) == rows_of(plain)
+    cut = history.blocked_log(log, ORDER, **limits)
+    counts = cut.rows.groupBy("session", blocks.BLOCK).count().where("session is null").collect()
+    total = log.where("session is null").count()
+    assert sum(r["count"] for r in counts) == total and max(r["count"] for r in counts) <= size
+    assert len(counts) >= total / size
+    assert rows_of(history.history(log, ORDER, **limits)) == rows_of(plain)
 
 
 def test_heavy_keys_are_bounded(spark):

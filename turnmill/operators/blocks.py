@@ -12,12 +12,17 @@ the plan is the plain window and nothing else.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-BLOCK = "_block"
+from turnmill.session import stored
 
+BLOCK = "_block"
+#: Rows of a block of a heavy key.
+ROWS_PER_BLOCK = 1 << 20
 
 MOST_KEYS_SENT = 10_000  # keys brought to the driver to pick out their rows
 
@@ -48,7 +53,8 @@ class Blocked:
             return self.rows
         schema = self.rows.select(*self.keys).schema
         listed = self.rows.sparkSession.createDataFrame(self.several, schema)
-        return self.rows.join(F.broadcast(listed), list(self.keys), "left_semi")
+        listed = F.broadcast(_renamed(listed, list(self.keys)))
+        return self.rows.join(listed, _same(self.rows, listed, list(self.keys)), "left_semi")
 
     def window(self):
         return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order)
@@ -65,13 +71,19 @@ def by_number(df: DataFrame, keys: list[str], order: str, size: int) -> Blocked:
     return Blocked(rows, tuple(keys), (order,), found if len(found) <= MOST_KEYS_SENT else None)
 
 
-def time_slot(ts: Column, unit: str = "hour") -> Column:
-    """A whole number growing with ``ts``, free of any time zone."""
-    day = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    if unit == "day":
-        return day
-    hour = day * 24 + F.hour(ts)
-    return {"hour": hour, "minute": hour * 60 + F.minute(ts)}[unit]
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, null ones included; ``right`` has them as ``_k0``, ``_k1``, .."""
+    return reduce(and_, [left[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)])
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+
+
+def _heavy_counts(df: DataFrame, keys: list[str], share: float, min_rows: int) -> list[Row]:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(float(min_rows))).alias("_l"))
+    return counts.where(F.col("_n") > limit.scalar()).select(*keys, "_n").collect()
 
 
 def heavy_keys(df: DataFrame, keys: list[str], share: float, min_rows: int) -> list[Row]:
@@ -80,33 +92,41 @@ def heavy_keys(df: DataFrame, keys: list[str], share: float, min_rows: int) -> l
     That bound holds for any data, so they can be brought to the driver. Counting reads
     the key columns alone and combines before its shuffle.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.agg(F.greatest(F.sum("_n") * F.lit(share), F.lit(float(min_rows))).alias("_l"))
-    return counts.where(F.col("_n") > limit.scalar()).select(*keys).collect()
+    return [Row(**{k: r[k] for k in keys}) for r in _heavy_counts(df, keys, share, min_rows)]
 
 
 def by_heavy_key(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    slot: Column,
     *,
     share: float = 1e-5,
     min_rows: int = 1_000_000,
+    size: int = ROWS_PER_BLOCK,
 ) -> Blocked:
-    """Blocks along ``slot`` for heavy keys, one block for every other key.
+    """Blocks of at most ``size`` rows for heavy keys, one block for every other key.
 
-    ``slot`` must not decrease along ``order``.
+    The rows of heavy keys are dealt to tasks by ranges of key and order, sorted there, and
+    written with the number of their range and of their row in it. Both grow along the order,
+    so runs of rows of a range are blocks, whatever the order column holds: a burst in one
+    moment is cut like anything else. Rows alike in key and order may come in any order.
     """
-    heavy = heavy_keys(df, keys, share, min_rows)
-    block = F.lit(0).cast("long")
-    marked = df
-    if heavy:
-        listed = df.sparkSession.createDataFrame(heavy, df.select(*keys).schema)
-        marked = df.join(F.broadcast(listed.withColumn("_heavy", F.lit(True))), keys, "left")
-        block = F.when(F.col("_heavy"), slot.cast("long")).otherwise(block)
-    rows = marked.withColumn(BLOCK, block).select(*df.columns, BLOCK)
-    return Blocked(rows, tuple(keys), tuple(order), heavy)
+    counted = _heavy_counts(df, keys, share, min_rows)
+    if not counted:
+        return Blocked(df.withColumn(BLOCK, F.lit(0).cast("long")), tuple(keys), tuple(order), [])
+    heavy = [Row(**{k: r[k] for k in keys}) for r in counted]
+    listed = F.broadcast(_renamed(df.sparkSession.createDataFrame(heavy, df.select(*keys).schema), keys))
+    ranges = -(-sum(r["_n"] for r in counted) // size)
+    hot = df.join(listed, _same(df, listed, keys), "left_semi")
+    sorted_rows = hot.repartitionByRange(ranges, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The upper bits of this number are the range, the lower ones the row in it.
+    place = F.monotonically_increasing_id()
+    row = place.bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.shiftright(place, 33) * F.lit(1 << 33) + F.expr("_row div " + str(size)) + 1
+    cut = sorted_rows.withColumn("_row", row).withColumn(BLOCK, block).drop("_row")
+    cut = stored(cut, "blocks")
+    light = df.join(listed, _same(df, listed, keys), "left_anti").withColumn(BLOCK, F.lit(0).cast("long"))
+    return Blocked(light.unionByName(cut), tuple(keys), tuple(order), heavy)
 
 
 _FOLDS = {
@@ -148,7 +168,8 @@ def running(blocked: Blocked, columns: dict[str, tuple[str, Column]]) -> Blocked
         "*",
         *[_FOLDS[fold][0](value).over(so_far).alias(f"_h_{n}") for n, (fold, value) in columns.items()],
     )
-    joined = here.join(before, keys, "left")
+    before = _renamed(before, keys)
+    joined = here.join(before, _same(here, before, keys), "left")
     return blocked.with_rows(
         joined.select(
             *names,
@@ -182,8 +203,9 @@ def neighbours(blocked: Blocked, column: str) -> Blocked:
             F.lead("_first").over(blocks).alias("_right"),
         )
     )
+    edges = _renamed(edges, keys)
     return blocked.with_rows(
-        here.join(edges, keys, "left").select(
+        here.join(edges, _same(here, edges, keys), "left").select(
             *blocked.rows.columns,
             F.coalesce("previous", "_left").alias("previous"),
             F.coalesce("following", "_right").alias("following"),

@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.functions import text as tx
-from turnmill.operators.blocks import Blocked, by_heavy_key, running, time_slot
+from turnmill.operators.blocks import Blocked, by_heavy_key, running
 
 
-
-def blocked_log(log: DataFrame, order: list[str], *, ts: str = "ts", unit: str = "hour", **limits) -> Blocked:
-    """A log cut into time blocks for sessions that hold very many rows."""
-    return by_heavy_key(log, ["session"], order, time_slot(F.col(ts), unit), **limits)
+def blocked_log(log: DataFrame, order: list[str], **limits) -> Blocked:
+    """A log cut into blocks of rows for sessions that hold very many."""
+    return by_heavy_key(log, ["session"], order, **limits)
 
 
 def classify(log: DataFrame) -> DataFrame:
@@ -38,11 +37,11 @@ def rolled_back(log: DataFrame) -> DataFrame:
     return classify(log).where((F.col("kind") == "message") & ~F.col("ok"))
 
 
-def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
-    """Kept messages with ``segment``, ``position`` from 1 and the range ``[start, end)``.
+def placed(log: DataFrame, order: list[str], **blocks) -> DataFrame:
+    """Every input with ``segment``, and what of the segment's history there is behind it.
 
-    The history visible at a message is the first ``position`` messages of its segment:
-    the first ``end`` characters of the segment's transcript.
+    ``position`` counts the kept messages so far, this one included; ``[start, end)`` is the
+    range of a kept message in the segment's transcript.
     """
     reset = F.col("kind").isin("end", "reset")
     kept = F.col("kept").cast("long")
@@ -65,9 +64,9 @@ def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
         },
     )
     end = F.col("_chars") - F.col("_chars_before")
-    return based.rows.where(F.col("kept")).select(
-        "session",
-        *order,
+    return based.rows.select(
+        *log.columns,
+        "kept",
         "segment",
         (F.col("_messages") - F.col("_messages_before")).alias("position"),
         (end - F.length("message") - 1).alias("start"),
@@ -76,6 +75,16 @@ def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
     )
 
 
+def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
+    """Kept messages with ``segment``, ``position`` from 1 and the range ``[start, end)``.
+
+    The history visible at a message is the first ``position`` messages of its segment:
+    the first ``end`` characters of the segment's transcript.
+    """
+    shown = ("segment", "position", "start", "end", "message")
+    return placed(log, order, **blocks).where("kept").select("session", *order, *shown)
+
+
 def transcripts(history_rows: DataFrame) -> DataFrame:
     """Each segment's kept messages as the lines of its transcript, with their places in it.
 

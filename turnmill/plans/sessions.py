@@ -39,9 +39,8 @@ def session_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The history worked out by a stream over the event files, read back from its sink."""
     out, checkpoint = run_dir(spark, "session-stream"), run_dir(spark, "session-stream-checkpoint")
     events = sessions.read_log(spark, folder, SCHEMAS["events"], pattern="events.parquet")
-    kept = sessions.session_history(events.selectExpr(*LOG_COLUMNS))
-    sessions.write_history(kept, out, checkpoint).awaitTermination()
-    return spark.read.schema(kept.schema).parquet(out).select(*SHOWN)
+    sessions.write_history(events.selectExpr(*LOG_COLUMNS), out, checkpoint).awaitTermination()
+    return sessions.read_history(spark, out).select(*SHOWN)
 
 
 QUERIES = {

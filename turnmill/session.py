@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,6 +23,34 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written under the shared folder and read back: worked out once, and safe from lost executors."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its kind of object."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
+def complete_dirs(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers n, rising, of the folders ``<prefix>n`` under ``path`` whose writing job has ended."""
+    fs, root = file_system(spark, path)
+    if not fs.exists(root):
+        return []
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        number = name.removeprefix(prefix)
+        if name.startswith(prefix) and number.isdigit() and fs.exists(done(status.getPath(), "_SUCCESS")):
+            found.append(int(number))
+    return sorted(found)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,21 +1,25 @@
-"""The chat-loop rules on a stream of console inputs."""
+"""The chat-loop rules on a stream of console inputs.
 
-from __future__ import annotations
+Each micro-batch is worked out by the batch operators, so a session of any size is cut into
+blocks as there. Between micro-batches three numbers a session are kept in a table: its
+segment, and the messages and characters kept in it so far (and the time of its last input).
+A micro-batch writes its history and the new numbers of the sessions it has met under its
+batch number, and counts once both are complete: one that is run again changes nothing.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from turnmill.operators.history import classify
-from turnmill.functions import text as tx
+from turnmill.operators.history import placed
+from turnmill.operators.joins import join_groups
+from turnmill.session import complete_dirs
 
-# Segment number, kept messages in it, characters in it: the same size for every session.
-STATE = "segment long, messages long, chars long"
+#: Micro-batches after which the numbers of all sessions are written together.
+SNAPSHOT_EVERY = 32
 
 
 def read_log(
@@ -27,11 +31,7 @@ def read_log(
     files_per_trigger: int | None = None,
     pattern: str = "*.parquet",
 ) -> DataFrame:
-    """A folder of parquet files as a stream.
-
-    The bytes (or files) per trigger bound a micro-batch, and with it what one session can
-    bring to one task at a time.
-    """
+    """A folder of parquet files as a stream; the bytes (or files) per trigger bound a micro-batch."""
     limit = (
         {"maxBytesPerTrigger": str(bytes_per_trigger)}
         if files_per_trigger is None
@@ -45,74 +45,88 @@ def read_log(
     )
 
 
-def session_history(log: DataFrame, seq: str = "seq", idle: str | None = None) -> DataFrame:
-    """Kept messages with their place in the session, as ``operators.history.history`` gives.
+def _state(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    """The newest numbers of each session from micro-batches before this one: a snapshot and what came after."""
+    whole = [n for n in complete_dirs(spark, f"{path}/state", "snapshot=") if n < before]
+    base = whole[-1] if whole else -1
+    later = [n for n in complete_dirs(spark, f"{path}/state", "batch=") if base < n < before]
+    folders = [f"{path}/state/snapshot={base}"] * bool(whole) + [f"{path}/state/batch={n}" for n in later]
+    if not folders:
+        return None
+    rows = spark.read.parquet(*folders)
+    newest = rows.groupBy("key").agg(F.max_by(F.struct("segment", "messages", "chars", "ts"), "batch").alias("n"))
+    return newest.select("key", "n.*")
 
-    Rows of one micro-batch are taken in ``seq`` order; across micro-batches arrival order
-    counts, as in a console. With ``idle`` (and an event-time column ``ts``) a session that
-    has been quiet that long after the watermark is forgotten and starts again.
-    """
-    ready = classify(log).withColumn("message", tx.py_strip(F.col("text")))
-    columns = ["session", seq, "kind", "kept", F.length("message").alias("_length"), "message"]
+
+def _with_state(rows: DataFrame, state: DataFrame | None, idle: str | None) -> DataFrame:
+    """Rows with ``_segment``, ``_messages`` and ``_chars`` of their sessions before the micro-batch."""
+    names = ("segment", "messages", "chars")
+    if state is None:
+        return rows.select("*", *[F.lit(0).cast("long").alias(f"_{n}") for n in names])
     if idle is not None:
-        columns.append("ts")
-        ready = ready.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", idle)
-    source = log.schema
-    output = T.StructType(
-        [
-            source["session"],
-            source[seq],
-            *[T.StructField(n, T.LongType()) for n in ("segment", "position", "start", "end")],
-            T.StructField("message", T.StringType()),
-        ]
-    )
-    idle_ms = None if idle is None else int(pd.Timedelta(idle).total_seconds() * 1000)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        segment, messages, chars = state.get if state.exists else (0, 0, 0)
-        # One session's share of one micro-batch, which the trigger's limit bounds.
-        rows = pd.concat(batches, ignore_index=True).sort_values(seq, kind="stable")
-        reset = rows["kind"].isin(["end", "reset"])
-        age = reset.cumsum()
-        kept = rows["kept"].astype("int64")
-        size = (rows["_length"] + 1) * kept
-        fresh = age > 0
-        position = kept.groupby(age).cumsum() + messages * (~fresh)
-        end = size.groupby(age).cumsum() + chars * (~fresh)
-        out = pd.DataFrame(
-            {
-                "session": key[0],
-                seq: rows[seq],
-                "segment": age + segment,
-                "position": position,
-                "start": end - size,
-                "end": end,
-                "message": rows["message"],
-            }
+        first = rows.groupBy("key").agg(F.min("ts").alias("_first"))
+        state = state.join(first, "key").where(F.expr(f"_first <= ts + interval {idle}")).drop("_first")
+    known = state.select("key", *[F.col(n).alias(f"_{n}") for n in names])
+    joined = join_groups(rows, known, ["key"], "left")
+    return joined.withColumns({f"_{n}": F.coalesce(f"_{n}", F.lit(0)) for n in names})
+
+
+def take_batch(log: DataFrame, batch: int, path: str, seq: str = "seq", idle: str | None = None, **blocks) -> None:
+    """Adds one micro-batch to the history at ``path``, unless it is there already."""
+    spark = log.sparkSession
+    if batch in complete_dirs(spark, f"{path}/state", "batch="):
+        return
+    columns = ["session", seq, "text", "ok"] + ["ts"] * ("ts" in log.columns)
+    rows = placed(log.select(*columns), [seq], **blocks)
+    if "ts" not in log.columns:
+        rows = rows.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    # As a struct, a null session is equal to itself.
+    rows = rows.withColumn("key", F.struct("session")).persist()
+    try:
+        based = _with_state(rows, _state(spark, path, batch), idle)
+        goes_on = F.col("segment") == 0  # no reset in this micro-batch yet
+        carried = {n: F.when(goes_on, F.col(n)).otherwise(0) for n in ("_messages", "_chars")}
+        based = based.select(
+            "key", "session", seq, "ts", "kept", "message",
+            (F.col("segment") + F.col("_segment")).alias("segment"),
+            (F.col("position") + carried["_messages"]).alias("position"),
+            (F.col("start") + carried["_chars"]).alias("start"),
+            (F.col("end") + carried["_chars"]).alias("end"),
+        )
+        shown = ("session", seq, "segment", "position", "start", "end", "message")
+        based.where("kept").select(*shown).write.mode("overwrite").parquet(f"{path}/history/batch={batch}")
+        last = F.max_by(F.struct("segment", F.col("position").alias("messages"), F.col("end").alias("chars")), seq)
+        now = based.groupBy("key").agg(last.alias("n"), F.max("ts").alias("ts")).select(
+            "key", "n.*", "ts", F.lit(batch).cast("long").alias("batch")
         )
-        state.update((int(out["segment"].iloc[-1]), int(position.iloc[-1]), int(end.iloc[-1])))
-        if idle_ms is not None:
-            latest = int(rows["ts"].max().timestamp() * 1000)
-            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + idle_ms)
-        yield out[rows["kept"].to_numpy(dtype=bool)]
+        now.write.mode("overwrite").parquet(f"{path}/state/batch={batch}")
+    finally:
+        rows.unpersist()
+    if batch % SNAPSHOT_EVERY == SNAPSHOT_EVERY - 1:
+        whole = _state(spark, path, batch + 1).withColumn("batch", F.lit(batch).cast("long"))
+        whole.write.mode("overwrite").parquet(f"{path}/state/snapshot={batch}")
 
-    timeout = GroupStateTimeout.NoTimeout if idle is None else GroupStateTimeout.EventTimeTimeout
-    return (
-        ready.select(*columns)
-        .groupBy("session")
-        .applyInPandasWithState(step, output, STATE, "append", timeout)
-    )
 
+def write_history(
+    log: DataFrame, path: str, checkpoint: str, *, seq: str = "seq", idle: str | None = None, **blocks
+) -> StreamingQuery:
+    """Takes in everything that is there, micro-batch by micro-batch, then stops.
 
-def write_history(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append to parquet, taking in everything that is there, then stop."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    ``log`` has session, ``seq``, text, ok and (for ``idle``) ts. Rows of one micro-batch are
+    taken in ``seq`` order; across micro-batches arrival order counts, as in a console. With
+    ``idle`` a session whose next micro-batch begins later than that after its last input is
+    forgotten and starts again. ``path`` and ``checkpoint`` belong together.
+    """
+    def take(rows: DataFrame, batch: int) -> None:
+        take_batch(rows, batch, path, seq, idle, **blocks)
+
+    query = log.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return query.trigger(availableNow=True).start()
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Kept messages with their place in the session, as ``operators.history.history`` gives."""
+    done = complete_dirs(spark, f"{path}/state", "batch=")
+    if not done:
+        raise FileNotFoundError(f"no complete micro-batch at {path}")
+    return spark.read.parquet(*[f"{path}/history/batch={n}" for n in done])
