@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill import fixed
-from turnmill.operators import models, vectors
+from turnmill.operators import ivf, models, vectors
 from turnmill.plans import stubs
 from turnmill.plans.inputs import table
+from turnmill.session import run_dir
+from turnmill.sources import collections
 
 CELLS = 16
 PROBES = 8
+COLLECTION_BUCKETS = 32
 
 
 def _chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,8 +83,8 @@ def topk_retrieve(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(answered, "preview", F.try_element_at("metadata", F.lit("lang")).alias("lang"))
 
 
-def _collection(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents, upserted with the labelled ones (replaced) and all pages (new)."""
+def _collection(spark: SparkSession, folder: str) -> str:
+    """A collection of all documents, upserted with the labelled ones (replaced) and all pages (new)."""
     def chunk(df: DataFrame, key, text: str, version: str) -> DataFrame:
         return df.select(key.alias("chunk_id"), F.col(text).alias("text"), F.lit(version).alias("version"))
 
@@ -92,15 +95,26 @@ def _collection(spark: SparkSession, folder: str) -> DataFrame:
     batch = chunk(labelled, doc_key, "text", "new").unionByName(
         chunk(table(spark, folder, "pages"), page_key, "html", "new")
     )
-    return vectors.upsert(chunk(docs, doc_key, "text", "old"), batch)
+    path = run_dir(spark, "collection")
+    collections.upsert_collection(spark, path, chunk(docs, doc_key, "text", "old"), buckets=COLLECTION_BUCKETS)
+    collections.upsert_collection(spark, path, batch)
+    return path
 
 
 def collection_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    return _collection(spark, folder).select("chunk_id", "version", F.length("text").cast("long").alias("chars"))
+    rows = collections.read_collection(spark, _collection(spark, folder))
+    return rows.select("chunk_id", "version", F.length("text").cast("long").alias("chars"))
 
 
 def collection_count(spark: SparkSession, folder: str) -> DataFrame:
-    return _collection(spark, folder).groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+    rows = collections.read_collection(spark, _collection(spark, folder))
+    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+
+
+def topk_ivf(spark: SparkSession, folder: str) -> DataFrame:
+    """The approximate search by inverted lists and quantised residuals; it has no SQL."""
+    collection = _vectors(spark, folder, "chunk_id")
+    return _shown(ivf.search(ivf.build(collection), _vectors(spark, folder, "query_id")))
 
 
 QUERIES = {
@@ -112,6 +126,7 @@ QUERIES = {
         topk_exact,
         topk_cells,
         topk_approx,
+        topk_ivf,
         topk_retrieve,
         collection_upsert,
         collection_count,

@@ -1,12 +1,14 @@
-"""Writing results and keeping a vector collection."""
+"""Writing results; collections are kept by ``sources.collections``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.operators.grading import details, report_header, report_lines, summarize
-from turnmill.operators.vectors import upsert
+from turnmill.sources.collections import read_collection, upsert_collection
+
+__all__ = ["read_collection", "report", "upsert_collection", "write_results"]
 
 RUN_KEYS = ["model_id", "subject"]
 
@@ -49,42 +51,3 @@ def report(detail_rows: DataFrame, summary: DataFrame, settings: dict[str, str],
         .sortWithinPartitions(*order)
         .select(*RUN_KEYS, "line")
     )
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions under ``path``, oldest first."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name[1:]))
-    return sorted(found)
-
-
-def read_collection(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of a collection."""
-    versions = _versions(spark, path)
-    if not versions:
-        raise FileNotFoundError(f"no collection at {path}")
-    return spark.read.parquet(f"{path}/v{versions[-1]}")
-
-
-def upsert_collection(
-    spark: SparkSession, path: str, batch: DataFrame, key: str = "chunk_id", order: str | None = None
-) -> int:
-    """Upsert a batch into the collection at ``path`` (made if missing); returns its row count.
-
-    A new version is written beside the old one and counts once it is complete, so readers
-    and failed jobs never meet a half-written collection.
-    """
-    versions = _versions(spark, path)
-    stored = [c for c in batch.columns if c != order]
-    base = read_collection(spark, path) if versions else batch.select(*stored).where(F.lit(False))
-    target = f"{path}/v{versions[-1] + 1 if versions else 1}"
-    upsert(base, batch, key, order).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target).count()
