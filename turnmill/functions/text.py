@@ -59,14 +59,34 @@ def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
-def first_of(parts: Column, budget: int) -> Column:
-    """The left end of a list of words, as text."""
-    return F.array_join(F.slice(parts, 1, budget), " ")
+def first_words(text: Column, budget: int) -> Column:
+    """The text up to the end of its ``budget``-th word; a text within the budget as it is.
+
+    Split once more than the budget, the last part is what follows those words.
+    """
+    lead = F.ltrim(text, F.lit(SPACES))
+    rest = F.get(F.split(lead, f"{SPACE_CLASS}+", budget + 1), F.lit(budget))
+    upto = F.substring(text, F.lit(1), F.length(text) - F.length(rest))
+    return F.when(F.coalesce(rest, F.lit("")) == "", text).otherwise(F.rtrim(upto, F.lit(SPACES)))
+
+
+def last_words(text: Column, budget: int) -> Column:
+    """The text from the beginning of the last ``budget`` words on; a text within the budget as it is."""
+    before = word_count(text) - budget
+    rest = F.get(F.split(F.ltrim(text, F.lit(SPACES)), F.lit(f"{SPACE_CLASS}+"), F.greatest(before, F.lit(0)) + 1), before)
+    return F.when(before <= 0, text).otherwise(rest)
+
+
+def first_tokens(text: Column, edges: Column, budget: int) -> Column:
+    """The text up to the end of its ``budget``-th token; ``edges`` has start and end of each token in turn."""
+    end = F.get(edges, F.lit(2 * budget - 1))
+    return F.when(F.size(edges) <= 2 * budget, text).otherwise(F.substring(text, F.lit(1), end))
 
 
-def last_of(parts: Column, budget: int) -> Column:
-    """The right end of a list of words, as text."""
-    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - budget, F.lit(0)) + 1, budget), " ")
+def last_tokens(text: Column, edges: Column, budget: int) -> Column:
+    """The text from the start of its last ``budget`` tokens on."""
+    start = F.get(edges, F.size(edges) - 2 * budget)
+    return F.when(F.size(edges) <= 2 * budget, text).otherwise(F.substring(text, start + 1, F.length(text)))
 
 
 def extract_answer(response: Column) -> Column:

@@ -83,17 +83,30 @@ def with_length(
     return df.withColumn(name, counter(F.col(column)))
 
 
-def apply_budgets(df: DataFrame, column: str = "text") -> DataFrame:
-    """Word-budgeted texts: training rows keep the left end, prompts the right end."""
-    parts = F.col("_words")
-    return df.withColumn("_words", tx.words(F.col(column))).select(
+def apply_budgets(df: DataFrame, column: str = "text", offsets: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Texts cut to the token budgets: training rows keep the left end, prompts the right end.
+
+    ``offsets`` gives the characters at which each token starts and ends, in turn
+    (``models.token_offsets`` brings a tokenizer); without it tokens are words. A cut text is
+    a piece of the original one, a text within its budget the original itself.
+    """
+    text = F.col(column)
+    if offsets is None:
+        cut = df.withColumn("n_tokens", tx.word_count(text))
+        first, last = (lambda n: tx.first_words(text, n)), (lambda n: tx.last_words(text, n))
+    else:
+        # The tokenizer is asked once.
+        edges = F.col("_edges")
+        cut = df.withColumn("_edges", offsets(text)).withColumn("n_tokens", F.floor(F.size("_edges") / 2).cast("int"))
+        first, last = (lambda n: tx.first_tokens(text, edges, n)), (lambda n: tx.last_tokens(text, edges, n))
+    return cut.select(
         *df.columns,
-        F.size(parts).alias("n_tokens"),
-        (F.size(parts) > fixed.SFT_BUDGET).alias("over_sft"),
-        (F.size(parts) > fixed.RL_PROMPT_BUDGET).alias("over_prompt"),
-        tx.first_of(parts, fixed.SFT_BUDGET).alias("sft_text"),
-        tx.last_of(parts, fixed.RL_PROMPT_BUDGET).alias("prompt_text"),
-        tx.first_of(parts, fixed.RL_COMPLETION_BUDGET).alias("completion_text"),
+        "n_tokens",
+        (F.col("n_tokens") > fixed.SFT_BUDGET).alias("over_sft"),
+        (F.col("n_tokens") > fixed.RL_PROMPT_BUDGET).alias("over_prompt"),
+        first(fixed.SFT_BUDGET).alias("sft_text"),
+        last(fixed.RL_PROMPT_BUDGET).alias("prompt_text"),
+        first(fixed.RL_COMPLETION_BUDGET).alias("completion_text"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.functions import text as tx
-from turnmill.operators.blocks import Blocked, by_heavy_key, running
+from turnmill.operators.blocks import Blocked, by_heavy_key, neighbours, running
 
 
 def blocked_log(log: DataFrame, order: list[str], **limits) -> Blocked:
@@ -43,12 +43,17 @@ def placed(log: DataFrame, order: list[str], **blocks) -> DataFrame:
     ``position`` counts the kept messages so far, this one included; ``[start, end)`` is the
     range of a kept message in the segment's transcript.
     """
+    ready = classify(log).withColumn("message", tx.py_strip(F.col("text")))
+    return _counted(blocked_log(ready, order, **blocks), log.columns)
+
+
+def _counted(blocked: Blocked, columns: list[str]) -> DataFrame:
+    """Places of rows that have ``kind``, ``kept`` and ``message``."""
     reset = F.col("kind").isin("end", "reset")
     kept = F.col("kept").cast("long")
     chars = F.when(F.col("kept"), F.length("message") + 1).otherwise(0).cast("long")
-    ready = classify(log).withColumn("message", tx.py_strip(F.col("text")))
     counted = running(
-        blocked_log(ready, order, **blocks),
+        blocked,
         {
             "segment": ("sum", F.when(reset, 1).otherwise(0).cast("long")),
             "_messages": ("sum", kept),
@@ -65,7 +70,7 @@ def placed(log: DataFrame, order: list[str], **blocks) -> DataFrame:
     )
     end = F.col("_chars") - F.col("_chars_before")
     return based.rows.select(
-        *log.columns,
+        *columns,
         "kept",
         "segment",
         (F.col("_messages") - F.col("_messages_before")).alias("position"),
@@ -85,6 +90,28 @@ def history(log: DataFrame, order: list[str], **blocks) -> DataFrame:
     return placed(log, order, **blocks).where("kept").select("session", *order, *shown)
 
 
+def dialogue(log: DataFrame, order: list[str], **blocks) -> DataFrame:
+    """Both sides of a console: kept inputs and replies with their place, as ``history`` gives.
+
+    ``log`` has a ``role`` as well: ``user`` rows are inputs, ``assistant`` rows answer the
+    input before them. A reply that failed takes back itself and its message; a reply is
+    never a command, whatever it says, and one that answers no message is left out. A message
+    without a reply so far is kept.
+    """
+    ready = log.withColumn("message", tx.py_strip(F.col("text"))).withColumn(
+        "kind", F.when(F.col("role") == "user", tx.command_kind(F.col("text"))).otherwise(F.lit("reply"))
+    )
+    ready = ready.withColumn("_side", F.struct("kind", F.coalesce("ok", F.lit(False)).alias("ok")))
+    around = neighbours(blocked_log(ready, order, **blocks), "_side")
+    before, after = F.col("previous.value"), F.col("following.value")
+    failed = F.coalesce((after["kind"] == "reply") & ~after["ok"], F.lit(False))
+    answers = F.coalesce(before["kind"] == "message", F.lit(False)) & F.col("_side.ok")
+    kept = F.when(F.col("kind") == "message", ~failed).when(F.col("kind") == "reply", answers).otherwise(False)
+    sided = around.with_rows(around.rows.withColumn("kept", kept).drop("previous", "following", "_side"))
+    shown = ("role", "segment", "position", "start", "end", "message")
+    return _counted(sided, log.columns).where("kept").select("session", *order, *shown)
+
+
 def transcripts(history_rows: DataFrame) -> DataFrame:
     """Each segment's kept messages as the lines of its transcript, with their places in it.
 

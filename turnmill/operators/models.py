@@ -122,3 +122,12 @@ def score(
 def token_counter(factory: Factory, batch_size: int = 64) -> Callable[[Column], Column]:
     """A tokenizer as a length counter for ``corpus.with_length``."""
     return predict_batch_udf(factory, return_type=T.IntegerType(), batch_size=batch_size)
+
+
+def token_offsets(factory: Factory, batch_size: int = 64) -> Callable[[Column], Column]:
+    """A tokenizer as the ``offsets`` of ``corpus.apply_budgets``.
+
+    The factory's function returns, for each text, start and end of each token in turn.
+    """
+    model = predict_batch_udf(factory, return_type=T.ArrayType(T.IntegerType()), batch_size=batch_size)
+    return lambda text: model(F.coalesce(text, F.lit("")))

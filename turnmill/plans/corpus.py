@@ -10,7 +10,9 @@ from turnmill.functions import text as tx
 from turnmill.operators import corpus, models, split
 from turnmill.plans import stubs
 from turnmill.plans.evaluation import STRIP
-from turnmill.plans.inputs import ITEMS_SQL, items, q, table
+from turnmill.plans.inputs import EXAM_LINE, ITEMS_SQL, MESSAGE_COLUMNS, MESSAGE_SQL, items, q, table
+from turnmill.session import run_dir
+from turnmill.sources import training
 
 
 def _conversations(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,6 +99,25 @@ def group_advantage(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.select("prompt_id", "sample_id", "reward", F.round("advantage", 6).alias("advantage"))
 
 
+def training_set(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations and exam items, written as JSON Lines, made into a training set, read back."""
+    path = run_dir(spark, "training-set")
+    chats = _conversations(spark, folder).selectExpr(*MESSAGE_COLUMNS)
+    whole = chats.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "json"))).alias("m"))
+    joined = F.array_join(F.transform("m", lambda m: m["json"]), ", ")
+    whole.select(F.concat(F.lit('{"conversations": ['), joined, F.lit("]}"))).write.text(f"{path}/files/chat")
+    items(spark, folder).selectExpr(EXAM_LINE).write.text(f"{path}/files/exam")
+    sources = {name: f"{path}/files/{name}" for name in ("chat", "exam")}
+    training.write_training_set(spark, sources, f"{path}/set")
+    rows = training.read_training_set(spark, f"{path}/set")
+    spans = training.read_training_set(spark, f"{path}/set", "spans")
+    trained = spans.groupBy("conv_id").agg(F.sum(F.col("end") - F.col("start")).alias("trained"))
+    return rows.join(trained, "conv_id", "left").select(
+        "source", "split", "conv_id", "prompt", F.md5("text").alias("text"),
+        F.size("messages").cast("long").alias("n_messages"), F.coalesce("trained", F.lit(0)).alias("trained"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -111,6 +132,7 @@ QUERIES = {
         reward_pairs,
         reward_scores,
         group_advantage,
+        training_set,
     )
 }
 
@@ -126,9 +148,37 @@ _SPLIT = f"""
                       count(*) over () as n from ids)
     select conv_id, case when r <= ceil({fixed.VALIDATION_SHARE}::double * n) then 'val' else 'train' end as split
     from ranked"""
+# Words and the white space between them, in turn.
+_PIECES = f"{tx.SPACE_CLASS}+|{tx.SPACE_CLASS.replace('[', '[^', 1)}+"
+
+
+def _first_sql(n: int) -> str:
+    return f"case when n <= {n} then text else array_to_string(p[:2 * {n} - 1 + lead], '') end"
+
+
 _WORDS = f"[x for x in regexp_split_to_array(text, {q(tx.SPACE_CLASS + '+')}) if x <> '']"
 
+_LINES = f"""
+    select 'chat' as source, '{{"conversations": [' || string_agg(json, ', ' order by turn) || ']}}' as line,
+           arg_min(content, turn) filter (role = 'user') as prompt, count(*) as n_messages,
+           string_agg('<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10), '' order by turn) as text,
+           coalesce(sum(length(content)) filter (role = 'assistant'), 0) as trained
+    from ({MESSAGE_SQL}) group by conv_id
+    union all
+    select 'exam', {EXAM_LINE}, question, 2,
+           '<|im_start|>user' || chr(10) || question || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
+           || answer || '<|im_end|>' || chr(10), length(answer) from ({ITEMS_SQL})"""
+_KEYED = f"""
+    select *, source || ':' || sha256(line) || ':' || row_number() over (partition by source, line) as conv_id
+    from ({_LINES})"""
+
 ORACLE = {
+    "training_set": f"""
+        select source, case when row_number() over (order by md5('{fixed.SPLIT_SEED}:' || conv_id), conv_id)
+                                 <= ceil({fixed.VALIDATION_SHARE}::double * count(*) over ()) then 'val' else 'train' end as split,
+               conv_id, case when length({STRIP.format('prompt')}) > 0 then prompt end as prompt,
+               md5(text) as text, n_messages, cast(trained as bigint) as trained
+        from ({_KEYED})""",
     "conv_nest_roundtrip": "select conv_id, turn, role, text from conversations",
     "conv_to_messages": """select string_agg(role || ': ' || text, chr(10) order by turn) as messages
         from conversations group by conv_id""",
@@ -142,11 +192,14 @@ ORACLE = {
         select split, count(*) as n, 'chat' as source from ({_SPLIT}) group by split
         union all select split, count(*), 'exam' from ({ITEMS_SQL}) group by split""",
     "length_budget": f"""
-        with w as (select doc_id, {_WORDS} as w from documents)
-        select doc_id, len(w) as n_tokens, len(w) > 1024 as over_sft, len(w) > 768 as over_prompt,
-               md5(array_to_string(w[:1024], ' ')) as sft_text,
-               md5(array_to_string(w[greatest(len(w) - 768, 0) + 1:], ' ')) as prompt_text,
-               md5(array_to_string(w[:256], ' ')) as completion_text
+        with w as (select doc_id, text, len({_WORDS}) as n,
+                          regexp_extract_all(text, {q(_PIECES)}) as p,
+                          regexp_matches(text, {q('^' + tx.SPACE_CLASS)})::int as lead from documents)
+        select doc_id, n as n_tokens, n > 1024 as over_sft, n > 768 as over_prompt,
+               md5({_first_sql(1024)}) as sft_text,
+               md5(case when n <= 768 then text
+                        else array_to_string(p[2 * (n - 768) + 1 + lead:], '') end) as prompt_text,
+               md5({_first_sql(256)}) as completion_text
         from w""",
     "rollout_plan": f"select conv_id, s as sample_id, prompt from ({_PROMPTS}), range(1, 5) as t(s)",
     "reward_pairs": f"""select conv_id, turn, 'user: ' || prompt || chr(10) || 'assistant: ' || completion as chat

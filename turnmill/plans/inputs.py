@@ -89,6 +89,42 @@ LOG_COLUMNS = [
 ]
 LOG_SQL = f"select {', '.join(LOG_COLUMNS)} from events"
 
+# Both sides of a console: the inputs, and a reply to most of those that are messages.
+DIALOGUE_SQL = """
+    select user_id as session, event_id * 2 as seq, ts, 'user' as role,
+           case when event_type = 'error' and value < 10 then 'Exit' when event_type = 'error' then ' clear '
+                when event_type = 'purchase' and value < 5 then ' ' else event_type || ' ' || props end as text,
+           true as ok
+    from events
+    union all
+    select user_id, event_id * 2 + 1, ts, 'assistant',
+           case when value > 40 then 'clear' else ' you said ' || event_type end, value >= 4
+    from events
+    where event_type <> 'error' and not (event_type = 'purchase' and value < 3) and not (value >= 20 and value < 22)"""
+
+# Conversations as JSON Lines. Some contents are numbers, lists, objects or null.
+def _json_text(column: str) -> str:
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        inner = f"chr({ord(plain)})"
+        outer = " || ".join(f"chr({ord(c)})" for c in escaped)
+        column = f"replace({column}, {inner}, {outer})"
+    return f"""'"' || {column} || '"'"""
+
+
+_KIND = "(conv_id + turn) % 13"
+MESSAGE_COLUMNS = [
+    "conv_id",
+    "turn",
+    "role",
+    f"case when {_KIND} in (5, 6, 7, 8) then '' else text end as content",
+    f"""'{{"role": "' || role || '", "content": ' ||
+        case {_KIND} when 5 then cast(turn as string) when 6 then '[{{"type": "text", "text": ' || {_json_text('text')} || '}}]'
+                     when 7 then '{{"b": 1, "a": [2]}}' when 8 then 'null' else {_json_text('text')} end || '}}' as json""",
+]
+MESSAGE_SQL = f"select {', '.join(MESSAGE_COLUMNS)} from conversations"
+EXAM_LINE = f"""'{{"conversations": [{{"role": "user", "content": ' || {_json_text('question')} ||
+    '}}, {{"role": "assistant", "content": "' || answer || '"}}], "split": "' || split || '"}}'"""
+
 # Landed responses of the weather services from `events`.
 _K = """cast(replace(replace(props, '{"k": ', ''), '}', '') as bigint)"""
 _POINT = (
@@ -140,5 +176,10 @@ def log(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*LOG_COLUMNS)
 
 
+def dialogue(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events")
+    return spark.sql(DIALOGUE_SQL.replace("from events", "from {events}"), events=events)
+
+
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").selectExpr(*PAYLOAD_COLUMNS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnmill.operators import history
 from turnmill.plans.evaluation import STRIP
-from turnmill.plans.inputs import LOG_COLUMNS, LOG_SQL, SCHEMAS, log, table
+from turnmill.plans.inputs import DIALOGUE_SQL, LOG_COLUMNS, LOG_SQL, SCHEMAS, dialogue, log, table
 from turnmill.session import run_dir
 from turnmill.streaming import sessions
 
@@ -35,6 +35,12 @@ def failed_turn_rollback(spark: SparkSession, folder: str) -> DataFrame:
     return history.classify(log(spark, folder)).select("session", "seq", "kind", "kept")
 
 
+def session_dialogue(spark: SparkSession, folder: str) -> DataFrame:
+    """Inputs and replies that stay in the history, in one transcript."""
+    kept = history.dialogue(dialogue(spark, folder), ORDER)
+    return kept.select("session", "seq", "role", *SHOWN[2:])
+
+
 def session_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The history worked out by a stream over the event files, read back from its sink."""
     out, checkpoint = run_dir(spark, "session-stream"), run_dir(spark, "session-stream-checkpoint")
@@ -45,7 +51,7 @@ def session_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (session_segments, running_history, session_transcripts, failed_turn_rollback, session_stream)
+    for f in (session_segments, running_history, session_transcripts, failed_turn_rollback, session_dialogue, session_stream)
 }
 
 # Oracle --------------------------------------------------------------------------------
@@ -64,7 +70,23 @@ _HISTORY = f"""
                 from ({_CLASSIFIED}))
           where kept window w as (partition by session, segment order by ts, seq rows unbounded preceding))"""
 
+_SIDES = f"""
+    select *, case when role = 'assistant' then 'reply' when lower(message) in ('quit', 'exit') then 'end'
+                   when lower(message) = 'clear' then 'reset' when message = '' then 'skip' else 'message' end as kind
+    from (select *, {STRIP.format('text')} as message from ({DIALOGUE_SQL}))"""
+_DIALOGUE = f"""
+    select session, seq, role, segment, position, cast(upto - length(message) - 1 as bigint) as start,
+           cast(upto as bigint) as "end", message
+    from (select *, row_number() over w as position, sum(length(message) + 1) over w as upto
+          from (select *, cast(sum((kind in ('end', 'reset'))::int) over o as bigint) as segment,
+                       lag(kind) over o as before, lead(kind) over o as after, lead(ok) over o as after_ok
+                from ({_SIDES}) window o as (partition by session order by ts, seq rows unbounded preceding))
+          where (kind = 'message' and not coalesce(after = 'reply' and not after_ok, false))
+                or (kind = 'reply' and ok and coalesce(before = 'message', false))
+          window w as (partition by session, segment order by ts, seq rows unbounded preceding))"""
+
 ORACLE = {
+    "session_dialogue": _DIALOGUE,
     "session_segments": """
         select user_id as session, event_id, cast(sum((event_type = 'error')::int) over (
             partition by user_id order by ts, event_id rows unbounded preceding) as bigint) as segment

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.functions.chat import unwrapped_call
+from turnmill.functions.text import is_blank
+from turnmill.operators.blocks import by_heavy_key, running
 from turnmill.operators.vectors import clean_metadata_json
 
 CONVERSATIONS = "conversations array<struct<role:string,content:string>>"
@@ -15,6 +17,11 @@ RICH_CONVERSATIONS = (
     "conversations array<struct<role:string,content:string,"
     "tool_calls:array<struct<name:string,arguments:string,function:struct<name:string,arguments:string>>>>>"
 )
+#: Content keeps the kind it has in the file.
+CHAT_LOG = (
+    "conversations array<struct<role:string,content:variant,"
+    "tool_calls:array<struct<name:string,arguments:string,function:struct<name:string,arguments:string>>>>>"
+)
 EXAM_ITEMS = "id long, question string, A string, B string, C string, D string, answer string"
 CHUNKS = "chunk_id string, text string, metadata string"
 
@@ -34,6 +41,44 @@ def read_conversations(spark: SparkSession, path: str | list[str], *, with_tool_
     return rows.withColumn("conversations", F.transform("conversations", message))
 
 
+def text_content(content: Column) -> Column:
+    """A message's content if it is a string, else ``''``: numbers, lists and objects are no text."""
+    is_text = F.coalesce(F.schema_of_variant(content) == "STRING", F.lit(False))
+    return F.when(is_text, F.try_variant_get(content, "$", "string")).otherwise("")
+
+
+def numbered(rows: DataFrame, key: str, name: str = "occurrence", **blocks) -> DataFrame:
+    """Add a number from 1 among the rows of a key; a key of its own is neither shuffled nor sorted.
+
+    Only keys that come twice are numbered by a window, in blocks where they are heavy.
+    """
+    twice = rows.groupBy(key).count().where("count > 1").select(key)
+    once = rows.join(twice, key, "left_anti").withColumn(name, F.lit(1).cast("long"))
+    cut = by_heavy_key(rows.join(twice, key, "left_semi"), [key], [key], **blocks)
+    several = running(cut, {name: ("sum", F.lit(1).cast("long"))}).rows
+    return once.select(*rows.columns, name).unionByName(several.select(*rows.columns, name))
+
+
+def read_chat_log(spark: SparkSession, path: str | list[str], **blocks) -> DataFrame:
+    """JSON Lines as they come: ``(conv_id, conversations)`` with role, content and tool calls.
+
+    ``conv_id`` is the SHA-256 of the line and, after a colon, the number of the line among
+    equal ones, so it stays the same however often and in whatever pieces the files are read.
+    Content that is no string is ``''``; a line that can't be read has no conversations (null).
+    """
+    lines = spark.read.text(path).where(~F.coalesce(is_blank(F.col("value")), F.lit(True)))
+    keyed = numbered(lines.withColumn("key", F.sha2("value", 256)), "key", **blocks)
+
+    def message(m: Column) -> Column:
+        calls = F.transform(m["tool_calls"], unwrapped_call)
+        return F.struct(m["role"].alias("role"), text_content(m["content"]).alias("content"), calls.alias("tool_calls"))
+
+    parsed = keyed.select(
+        F.concat_ws(":", "key", F.col("occurrence").cast("string")).alias("conv_id"), F.from_json("value", CHAT_LOG).alias("r")
+    )
+    return parsed.select("conv_id", F.transform("r.conversations", message).alias("conversations"))
+
+
 def read_exam(
     spark: SparkSession, root: str, subjects: Sequence[str], splits: Sequence[str] = ("dev", "test")
 ) -> DataFrame:
