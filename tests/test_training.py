@@ -72,17 +72,16 @@ def test_training_set_resumes(spark, tmp_path):
         training.write_training_set(spark, sources, path, seed=1)
 
 
-def letters():
-    """A tokenizer that takes each visible character for a token."""
-
-    def predict(text: np.ndarray) -> np.ndarray:
-        return np.array([[x for i, c in enumerate(t) if not c.isspace() for x in (i, i + 1)] for t in text], dtype=object)
+@pytest.mark.parametrize("unit", ["words", "letters"])
+def test_budgets_cut_the_text(spark, monkeypatch, unit):
+    def letters():
+        """A tokenizer that takes each visible character for a token."""
 
-    return predict
+        def predict(text: np.ndarray) -> np.ndarray:
+            return np.array([[x for i, c in enumerate(t) if not c.isspace() for x in (i, i + 1)] for t in text], dtype=object)
 
+        return predict
 
-@pytest.mark.parametrize("unit", ["words", "letters"])
-def test_budgets_cut_the_text(spark, monkeypatch, unit):
     for name, n in (("SFT_BUDGET", 5), ("RL_PROMPT_BUDGET", 3), ("RL_COMPLETION_BUDGET", 1)):
         monkeypatch.setattr(fixed, name, n)
     texts = ["", " ", "a", " a  b ", "a\n\nb\tc  d　e f", "我认为答案是A😀", "  one two three four five six  ", "a b c d e", None]

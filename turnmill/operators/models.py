@@ -7,9 +7,10 @@ Python worker. Results must depend on the row alone, so lost tasks can be repeat
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,5 +130,12 @@ def token_offsets(factory: Factory, batch_size: int = 64) -> Callable[[Column],
 
     The factory's function returns, for each text, start and end of each token in turn.
     """
-    model = predict_batch_udf(factory, return_type=T.ArrayType(T.IntegerType()), batch_size=batch_size)
-    return lambda text: model(F.coalesce(text, F.lit("")))
+
+    @F.pandas_udf("array<int>")
+    def edges(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = factory()
+        for texts in batches:
+            found = [e for i in range(0, len(texts), batch_size) for e in predict(texts.iloc[i : i + batch_size].to_numpy())]
+            yield pd.Series([[int(x) for x in e] for e in found], dtype=object)
+
+    return lambda text: edges(F.coalesce(text, F.lit("")))
