@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnmill.functions.chat import render_messages
-from turnmill.operators import corpus, history
+from turnmill.operators import corpus, grading, history, vectors
 from turnmill.plans import inputs
 from turnmill.plans.evaluation import _variants
 from turnmill.plans.sessions import ORDER, SHOWN
@@ -71,19 +71,52 @@ def test_collection_versions(spark, tmp_path):
     assert rows == {"a": "1", "b": "3", "c": "4"}
 
 
+@pytest.mark.parametrize("size,indent", [("400", None), ("700", 2), ("128m", 2)])
+def test_array_in_pieces(spark, tmp_path, size, indent):
+    """Nested and escaped elements over every edge, as the reader of one task gives them."""
+    awkward = ["}", "{", "\\", "\\\"}", "a\"b", '"', "]}[{", "\\\\", "é😀}", "", "\n}\t", 'x\\"', "},{"]
+    chunks = [
+        {"chunk_id": f"{n}", "text": t, "metadata": {"k": n, "deep": {"z": [{}, {"y": t}], "e": {}}, "none": None}}
+        for n, t in enumerate(awkward)
+    ]
+    chunks.append({"chunk_id": "bare", "text": "y"})
+    for n in range(2):
+        (tmp_path / f"{n}.json").write_text(json.dumps(chunks[n::2], indent=indent, ensure_ascii=False) + "\n", encoding="utf-8")
+    (tmp_path / "none.json").write_text("[]")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = readers.read_chunks(spark, str(tmp_path)).collect()
+        elements = readers.array_elements(spark, str(tmp_path)).count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = spark.read.schema(readers.CHUNKS).option("multiLine", True).json(str(tmp_path)).where("chunk_id is not null")
+    want = whole.withColumn("metadata", vectors.clean_metadata_json(F.col("metadata"))).collect()
+    assert elements == len(chunks) and sorted(map(repr, got)) == sorted(map(repr, want))
+
+
 def test_results(spark, tmp_path):
     path = str(tmp_path / "results")
     graded = _variants(spark, FOLDER)
-    writers.write_results(graded, path, {"Do Sample": "False"}, 5)
+    adapters = {"lora": "out/my-lora", "grpo": "out/my-grpo"}
+    for _ in range(2):  # a second time replaces the first
+        writers.write_results(graded, path, shots=5, adapters=adapters)
     assert spark.read.parquet(f"{path}/details").count() == graded.count()
     summary = spark.read.parquet(f"{path}/summary")
     assert summary.count() == 6
-    run = sorted((tmp_path / "results/report/model_id=base/subject=even").glob("part-*"))
-    lines = "".join(p.read_text(encoding="utf-8") for p in run).splitlines()
-    assert lines[0] == "Evaluation Results" and "  Few-shot: 5 examples" in lines
-    assert lines[-1].startswith("Evaluation completed at: ")
+    names = {p.name for p in (tmp_path / "results/out/ceval-exma/even").glob("*.txt")}
+    assert names == {"base_results.txt", "lora_my-lora_results.txt", "grpo_my-grpo_results.txt"}
+    lines = (tmp_path / "results/out/ceval-exma/even/lora_my-lora_results.txt").read_text(encoding="utf-8").splitlines()
+    assert lines[:2] == ["=" * 70, "C-Eval Even Evaluation Results"] and "  Adapter Path: out/my-lora" in lines
+    assert lines[-2].startswith("Evaluation completed at: ") and lines[-1] == "=" * 70
     ids = [int(x[:6]) for x in lines if re.match(r"\d+ +\| ", x)]  # questions may hold line ends
-    assert ids == sorted(ids) and len(ids) == summary.where("model_id = 'base' and subject = 'even'").first().total
+    assert ids == sorted(ids) and len(ids) == summary.where("model_id = 'lora' and subject = 'even'").first().total
+
+
+def test_padding_counts_characters(spark):
+    row = spark.range(1).select(grading.report_line(F.lit("1"), F.lit("😀 q"), F.lit("A"), F.lit("B"), F.lit(False))).first()
+    assert row[0] == f"{'1':<6} | {'😀 q':<40} | {'A':<5} | {'B':<5} | ✗"
 
 
 def test_stream_over_several_batches_equals_batch(spark, tmp_path):

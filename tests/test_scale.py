@@ -281,7 +281,7 @@ def plan(df):
 
 PYTHON_ALLOWED = {
     "batch_generate", "grade_answers", "eval_details", "eval_summary", "running_accuracy", "model_compare",
-    "report_lines", "reward_scores", "batch_embed", "topk_exact", "topk_cells", "topk_approx", "topk_ivf", "topk_retrieve",
+    "report_lines", "report_file", "reward_scores", "batch_embed", "topk_exact", "topk_cells", "topk_approx", "topk_ivf", "topk_retrieve",
     "session_stream",
 }
 

@@ -58,6 +58,33 @@ SAMPLING_TEMPERATURE = 0.7
 SAMPLING_TOP_P = 0.9
 SAMPLING_TOP_K = 50
 
+# Texts of the evaluation report, as they stand in the file.
+REPORT_RULER = "=" * 70
+REPORT_THIN_RULER = "-" * 70
+REPORT_TITLE = "C-Eval %s Evaluation Results"
+REPORT_MODEL = "Model Configuration:"
+REPORT_MODEL_TYPE = "  Model Type: "
+REPORT_BASE_MODEL = "  Base Model: "
+REPORT_ADAPTER = "  Adapter Path: "
+REPORT_DATASET = "  Dataset: "
+REPORT_GENERATION = "Generation Parameters:"
+REPORT_TEMPERATURE = "  Temperature: "
+REPORT_DO_SAMPLE = "  Do Sample: "
+REPORT_MAX_NEW_TOKENS = "  Max New Tokens: "
+REPORT_SETUP = "Evaluation Setup:"
+REPORT_TEST_SPLIT = "  Test Split: %s questions"
+REPORT_SHOTS = "  Few-shot: %s examples"
+REPORT_SUMMARY = "Summary Results:"
+REPORT_TOTAL = "  Total Questions: "
+REPORT_CORRECT = "  Correct: "
+REPORT_INCORRECT = "  Incorrect: "
+REPORT_UNKNOWN = "  Failed Extractions: "
+REPORT_ACCURACY = "  Accuracy: %.2f%%"
+REPORT_DETAILS = "Detailed Results:"
+REPORT_COLUMNS = ("ID", "Question", "Pred", "True", "Status")
+REPORT_WIDTHS = (6, 40, 5, 5)
+REPORT_END = "Evaluation completed at: "
+
 # Session commands (compared in lower case).
 QUIT_COMMANDS = ("quit", "exit")
 CLEAR_COMMAND = "clear"

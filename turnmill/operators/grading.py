@@ -115,10 +115,20 @@ def running_accuracy(
     )
 
 
+def padded(value: Column, width: int) -> Column:
+    """Blanks behind a value up to a width in characters; a longer one stays whole."""
+    return F.concat(value, F.repeat(F.lit(" "), F.greatest(F.lit(width) - F.length(value), F.lit(0))))
+
+
+def _table_line(*values: Column) -> Column:
+    fitted = [padded(v, w) for v, w in zip(values, fixed.REPORT_WIDTHS, strict=False)]
+    return F.concat_ws(" | ", *fitted, *values[len(fitted) :])
+
+
 def report_line(identifier, question, predicted, correct, is_correct) -> Column:
     """A fixed-width line; long values are padded never cut."""
     status = F.when(is_correct, fixed.STATUS_RIGHT).otherwise(fixed.STATUS_WRONG)
-    return F.format_string("%-6s | %-40s | %-5s | %-5s | %s", identifier, question, predicted, correct, status)
+    return _table_line(identifier, question, predicted, correct, status)
 
 
 def report_lines(detail_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -131,21 +141,60 @@ def report_lines(detail_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def report_header(summary: DataFrame, by: Sequence[str], settings: dict[str, str], shots: int) -> DataFrame:
-    """``(*by, line_no, line)``: the settings and the summary as text."""
-    def shown(label: str, column: str) -> Column:
-        return F.concat(F.lit(f"  {label}: "), F.col(column).cast("string"))
-
-    lines = F.array(
-        F.lit("Evaluation Results"),
-        *[F.concat(F.lit(f"  {name}: "), F.col(name)) for name in by],
-        *[F.lit(f"  {name}: {value}") for name, value in settings.items()],
-        F.lit(f"  Few-shot: {shots} examples"),
-        shown("Total Questions", "total"),
-        shown("Correct", "correct"),
-        shown("Incorrect", "incorrect"),
-        shown("Failed Extractions", "unknown"),
-        F.format_string("  Accuracy: %.2f%%", F.col("accuracy")),
-        F.format_string("%-6s | %-40s | %-5s | %-5s | %s", *map(F.lit, ("ID", "Question", "Pred", "True", "Status"))),
+def report_head(settings: Column, shots: Column | int) -> Column:
+    """The lines before the details of a run, from its summary's columns and ``model_id``, ``subject``.
+
+    ``settings`` is a struct of base_model, adapter, temperature, do_sample, max_new_tokens.
+    """
+    def named(label: str, value: Column) -> Column:
+        return F.concat(F.lit(label), value.cast("string"))
+
+    title = F.initcap(F.replace(F.col("subject"), F.lit("_"), F.lit(" ")))
+    adapted = F.when(F.col("model_id") != "base", F.array(named(fixed.REPORT_ADAPTER, settings["adapter"])))
+    ruler, blank = F.lit(fixed.REPORT_RULER), F.lit("")
+    return F.concat(
+        F.array(
+            ruler,
+            F.format_string(fixed.REPORT_TITLE, title),
+            ruler,
+            blank,
+            F.lit(fixed.REPORT_MODEL),
+            named(fixed.REPORT_MODEL_TYPE, F.col("model_id")),
+            named(fixed.REPORT_BASE_MODEL, settings["base_model"]),
+        ),
+        F.coalesce(adapted, F.array().cast("array<string>")),
+        F.array(
+            named(fixed.REPORT_DATASET, F.col("subject")),
+            blank,
+            F.lit(fixed.REPORT_GENERATION),
+            named(fixed.REPORT_TEMPERATURE, settings["temperature"]),
+            named(fixed.REPORT_DO_SAMPLE, F.initcap(settings["do_sample"].cast("string"))),
+            named(fixed.REPORT_MAX_NEW_TOKENS, settings["max_new_tokens"]),
+            blank,
+            F.lit(fixed.REPORT_SETUP),
+            F.format_string(fixed.REPORT_TEST_SPLIT, F.col("total").cast("string")),
+            F.format_string(fixed.REPORT_SHOTS, (shots if isinstance(shots, Column) else F.lit(shots)).cast("string")),
+            blank,
+            ruler,
+            F.lit(fixed.REPORT_SUMMARY),
+            ruler,
+            named(fixed.REPORT_TOTAL, F.col("total")),
+            named(fixed.REPORT_CORRECT, F.col("correct")),
+            named(fixed.REPORT_INCORRECT, F.col("incorrect")),
+            named(fixed.REPORT_UNKNOWN, F.col("unknown")),
+            F.format_string(fixed.REPORT_ACCURACY, F.col("accuracy")),
+            blank,
+            ruler,
+            F.lit(fixed.REPORT_DETAILS),
+            ruler,
+            _table_line(*map(F.lit, fixed.REPORT_COLUMNS)),
+            F.lit(fixed.REPORT_THIN_RULER),
+        ),
     )
-    return summary.select(*by, F.posexplode(lines).alias("line_no", "line"))
+
+
+def report_foot(completed_at: Column) -> Column:
+    """The lines behind the details."""
+    ruler = F.lit(fixed.REPORT_RULER)
+    done = F.concat(F.lit(fixed.REPORT_END), F.date_format(completed_at, "yyyy-MM-dd HH:mm:ss"))
+    return F.array(F.lit(""), ruler, done, ruler)

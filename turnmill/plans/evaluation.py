@@ -10,6 +10,12 @@ from turnmill.functions import text as tx
 from turnmill.operators import fewshot, grading, models
 from turnmill.plans import stubs
 from turnmill.plans.inputs import ITEMS_SQL, items, q, table
+from turnmill.session import run_dir
+from turnmill.sources import writers
+
+#: What the written reports say.
+SHOTS = 5
+COMPLETED_AT = "2024-01-01 00:00:00"
 
 STUB_INPUTS = ["item_id", "answer"]
 
@@ -61,6 +67,18 @@ def _variants(spark: SparkSession, folder: str) -> DataFrame:
     return grading.grade_rows(runs)
 
 
+def report_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The reports of all runs, written and read back, a row a line."""
+    root = run_dir(spark, "results")
+    adapters = {m: f"out/adapter-{m}" for m in fixed.MODEL_TYPES if m != "base"}
+    done = F.to_timestamp(F.lit(COMPLETED_AT))
+    writers.write_results(_variants(spark, folder), root, shots=SHOTS, adapters=adapters, completed_at=done)
+    files = spark.read.text(f"{root}/out/{fixed.RESULTS_FOLDER}/*/*{fixed.RESULTS_SUFFIX}", wholetext=True)
+    whole = files.select(F.regexp_extract("_metadata.file_path", "/(out/[^/]+/[^/]+/[^/]+)$", 1).alias("path"), "value")
+    line = F.posexplode(F.split("value", "\n")).alias("line_no", "line")
+    return whole.select("path", line).select("path", F.col("line_no").cast("long").alias("line_no"), "line")
+
+
 def eval_details(spark: SparkSession, folder: str) -> DataFrame:
     return grading.details(_graded(spark, folder))
 
@@ -109,6 +127,7 @@ QUERIES = {
         model_compare,
         run_labels,
         report_lines,
+        report_file,
     )
 }
 
@@ -177,7 +196,34 @@ def _pad(column: str, width: int) -> str:
     return f"{column} || repeat(' ', greatest({width} - length({column}), 0))"
 
 
+_FILE = f"""
+    with r as (select *, 'out/ceval-exma/' || subject || '/' || case when model_id = 'base' then 'base'
+                             else model_id || '_adapter-' || model_id end || '_results.txt' as path,
+                      case when length(question) > 50 then substr(question, 1, 50) || '...' else question end as short
+               from ({_GRADED_RUNS})),
+    s as (select path, any_value(model_id) as model_id, any_value(subject) as subject, count(*) as total,
+                 sum(is_correct::int) as correct, count(*) filter (predicted = 'UNKNOWN') as unknown,
+                 string_agg({_pad('cast(item_id as varchar)', 6)} || ' | ' || {_pad('short', 40)} || ' | ' ||
+                            {_pad('predicted', 5)} || ' | ' || {_pad('answer', 5)} || ' | ' ||
+                            case when is_correct then '✓' else '✗' end, chr(10) order by item_id) as body
+          from r group by path),
+    t as (select path, concat_ws(chr(10), repeat('=', 70),
+                 'C-Eval ' || upper(subject[1]) || subject[2:] || ' Evaluation Results', repeat('=', 70), '',
+                 'Model Configuration:', '  Model Type: ' || model_id, '  Base Model: model/qwen',
+                 case when model_id <> 'base' then '  Adapter Path: out/adapter-' || model_id end,
+                 '  Dataset: ' || subject, '', 'Generation Parameters:', '  Temperature: 0.0', '  Do Sample: False',
+                 '  Max New Tokens: 10', '', 'Evaluation Setup:', '  Test Split: ' || total || ' questions',
+                 '  Few-shot: {SHOTS} examples', '', repeat('=', 70), 'Summary Results:', repeat('=', 70),
+                 '  Total Questions: ' || total, '  Correct: ' || correct, '  Incorrect: ' || (total - correct),
+                 '  Failed Extractions: ' || unknown,
+                 '  Accuracy: ' || printf('%.2f', correct::double / total * 100) || '%', '', repeat('=', 70),
+                 'Detailed Results:', repeat('=', 70),
+                 'ID     | Question                                 | Pred  | True  | Status', repeat('-', 70), body, '',
+                 repeat('=', 70), 'Evaluation completed at: {COMPLETED_AT}', repeat('=', 70), '') as text from s)
+    select path, unnest(range(len(string_split(text, chr(10))))) as line_no, unnest(string_split(text, chr(10))) as line from t"""
+
 ORACLE = {
+    "report_file": _FILE,
     "extract_answers": extract_sql("conversations", "conv_id, turn", "text"),
     "extract_answers_docs": extract_sql("documents", "doc_id", "text"),
     "few_shot_prompts": _prompts_sql(""),

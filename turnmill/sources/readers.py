@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from turnmill.functions.chat import unwrapped_call
 from turnmill.functions.text import is_blank
-from turnmill.operators.blocks import by_heavy_key, running
+from turnmill.operators.blocks import BLOCK, Blocked, by_heavy_key, running
 from turnmill.operators.vectors import clean_metadata_json
+from turnmill.session import stored
 
 CONVERSATIONS = "conversations array<struct<role:string,content:string>>"
 RICH_CONVERSATIONS = (
@@ -97,10 +98,60 @@ def read_exam(
     )
 
 
-def read_chunks(spark: SparkSession, path: str | list[str], *, json_lines: bool = False) -> DataFrame:
-    """Chunks with cleaned metadata.
+# Strings of JSON text; the second pattern is one that is still open at the end of a piece.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_OPEN_STRING = r'(?s)"(?:[^"\\]|\\.)*+$'
+
 
-    A file holding one JSON array is read by one task; large inputs should be JSON Lines.
+def array_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, element, value): the objects of files that hold one JSON array, read in pieces by many tasks.
+
+    Files are cut behind every closing brace, wherever their splits lie. The quotes before a
+    piece tell whether it begins inside a string, the braces and brackets outside of strings
+    how deep it stands; an element ends with the brace that brings the depth back to one. The
+    counts run over blocks, one for each split, so a file of any size is read by all tasks.
     """
-    rows = spark.read.schema(CHUNKS).option("multiLine", not json_lines).json(path)
+    raw = spark.read.text(path, lineSep="}").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
+    )
+    # A quote behind an odd number of backslashes is part of a string; no piece ends in backslashes.
+    plain = F.regexp_replace("value", r"\\.", "")
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
+    # Written once: the numbers of pieces hold for this reading alone.
+    pieces = stored(raw.withColumn("quotes", quotes.cast("long")), "array-pieces")
+    keys, order = ("file",), ("at",)
+    several = None if pieces.select(*keys, BLOCK).distinct().groupBy(*keys).count().where("count > 1").limit(1).collect() else []
+    cut = Blocked(pieces, keys, order, several)
+    cut = running(cut, {"upto": ("sum", F.col("quotes"))})
+    opens_inside = (F.col("upto") - F.col("quotes")) % 2 == 1
+    inside = F.col("upto") % 2 == 1
+    # Within a string up to its first quote, which the added one closes.
+    text = F.when(opens_inside, F.concat(F.lit('"'), F.col("value"))).otherwise(F.col("value"))
+    bare = F.regexp_replace(F.regexp_replace(text, _STRING, ""), _OPEN_STRING, "")
+    count = lambda c: F.length(bare) - F.length(F.replace(bare, F.lit(c), F.lit("")))
+    deeper = count("{") + count("[") - count("]") - F.when(inside, 0).otherwise(1)
+    rows = cut.rows.select(*keys, BLOCK, "at", "value", inside.alias("inside"), deeper.cast("long").alias("deeper"))
+    cut = running(cut.with_rows(rows), {"depth": ("sum", F.col("deeper"))})
+    ends = (~F.col("inside") & (F.col("depth") == 1)).cast("long")
+    cut = running(cut.with_rows(cut.rows.withColumn("ends", ends)), {"ended": ("sum", F.col("ends"))})
+    element = (F.col("ended") - F.col("ends")).alias("element")
+    whole = (
+        cut.rows.select("file", element, "at", "value", "ends")
+        .groupBy("file", "element")
+        .agg(F.max("ends").alias("ends"), F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p"))
+        .where("ends = 1")  # what follows the last element is none
+    )
+    joined = F.concat(F.array_join(F.transform("p", lambda x: x["value"]), "}"), F.lit("}"))
+    return whole.select("file", "element", F.regexp_replace(joined, r"^[\s,\[\x{FEFF}]+", "").alias("value"))
+
+
+def read_chunks(spark: SparkSession, path: str | list[str], *, json_lines: bool = False) -> DataFrame:
+    """Chunks with cleaned metadata, from files with one JSON array each or from JSON Lines."""
+    if json_lines:
+        rows = spark.read.schema(CHUNKS).json(path)
+    else:
+        rows = array_elements(spark, path).select(F.from_json("value", CHUNKS).alias("c")).select("c.*")
     return rows.withColumn("metadata", clean_metadata_json(F.col("metadata")))
