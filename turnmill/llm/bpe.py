@@ -209,8 +209,11 @@ class RankBPE:
         return " ".join(map(token, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-def encode_decode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """``df`` with a struct ``bpe``: number of ids, the ids (little-endian u32), and the text they decode to."""
+def encode_decode(df: DataFrame, tokenizer: str, text: str = "text", into: str = "bpe") -> DataFrame:
+    """``df`` with a struct ``into``: number of ids, the ids (little-endian u32), and the text they decode to.
+
+    A column that has this name already is replaced; all others pass unread.
+    """
     kind = pa.struct([("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     @F.arrow_udf(RESULT)
@@ -222,4 +225,4 @@ def encode_decode(df: DataFrame, tokenizer: str, text: str = "text") -> DataFram
             arrays = [pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)]
             yield pa.StructArray.from_arrays(arrays, fields=list(kind))
 
-    return bounded_batches(df).withColumn("bpe", run(F.col(text)))
+    return bounded_batches(df).withColumn(into, run(F.col(text)))

@@ -1,18 +1,19 @@
 """License scans: templates with optional and replaceable regions as automata over words.
 
 A template is a text with marks: ``<<optional>> ... <<end>>`` around words that may be
-missing (marks nest), and ``<<words:NAME:MAX>>`` for up to MAX words of any kind, at least
+missing (marks nest), and ``<<words:NAME>>`` for any number of words of any kind, at least
 one. Such a region ends where the wording after it (up to the next mark) first stands in
 full. ``one|other`` is either word. All else is mandatory wording that must stand word by
 word. Words are compared in lower case; what stands between words doesn't matter.
 
 Licenses are written out to their last word, so a text whose last clause is altered or
-missing has no label. Names of holders may have up to 200 words; a longer list of names
-isn't recognised.
+missing has no label. Of the Apache, GPL, MPL and Creative Commons licenses only the notices
+that name them are templates; ``bsd`` stands for the licenses of two and of three clauses.
 
 All templates become one automaton. It starts at every word that can begin a template and
-runs until no template can go on, so the work is one pass over the words and a few steps
-at the places that look like a license.
+runs until no template can go on. What follows from a word and the states reached there is
+remembered, so places that wait for the end of a region walk the same words once: the work
+is one pass over the words and a few steps at the places that look like a license.
 
 Empty, blank and null texts have no words, no labels and score 0. Texts are judged one by
 one, whole; ties, repeated rows and other columns change nothing.
@@ -46,7 +47,7 @@ TEMPLATES = {
         <<optional>> as published by the free software foundation either <<end>> version 3""",
     "gpl-2.0-notice": """licensed under <<optional>> the terms of <<end>> the gnu general public license
         <<optional>> as published by the free software foundation either <<end>> version 2""",
-    "copyright-notice": "copyright <<optional>> c <<end>> <<words:holder:200>> all rights reserved",
+    "copyright-notice": "copyright <<optional>> c <<end>> <<words:holder>> all rights reserved",
     "mit": """permission is hereby granted free of charge to any person obtaining a copy of this software and
         associated documentation files the software to deal in the software without restriction including without
         limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the
@@ -55,14 +56,14 @@ TEMPLATES = {
         <<end>> shall be included in all copies or substantial portions of the software the software is provided as
         is without warranty of any kind express or implied including but not limited to the warranties of
         merchantability fitness for a particular purpose and noninfringement in no event shall
-        <<words:holder:200>> be liable for any claim damages or other liability whether in an action of contract
+        <<words:holder>> be liable for any claim damages or other liability whether in an action of contract
         tort or otherwise arising from out of or in connection with the software or the use or other dealings in
         the software""",
     "isc": """permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with
         or without fee is hereby granted provided that the above copyright notice and this permission notice appear
-        in all copies the software is provided as is and <<words:holder:200>> disclaims all warranties with regard to
+        in all copies the software is provided as is and <<words:holder>> disclaims all warranties with regard to
         this software including all implied warranties of merchantability and fitness in no event shall
-        <<words:holder:200>> be liable for any special direct indirect or consequential damages or any damages
+        <<words:holder>> be liable for any special direct indirect or consequential damages or any damages
         whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other
         tortious action arising out of or in connection with the use or performance of this software""",
     "bsd": """redistribution and use in source and binary forms with or without modification are permitted provided
@@ -70,17 +71,17 @@ TEMPLATES = {
         above copyright notice this list of conditions and the following disclaimer <<optional>> 2 <<end>>
         redistributions in binary form must reproduce the above copyright notice this list of conditions and the
         following disclaimer in the documentation and or other materials provided with the distribution
-        <<optional>> <<optional>> 3 <<end>> neither the name of <<words:holder:200>> nor the names of its
+        <<optional>> <<optional>> 3 <<end>> neither the name of <<words:holder>> nor the names of its
         contributors may be used to endorse or promote products derived from this software without specific prior
-        written permission <<end>> this software is provided by <<words:provider:200>> as is and any express or
+        written permission <<end>> this software is provided by <<words:provider>> as is and any express or
         implied warranties including but not limited to the implied warranties of merchantability and fitness for a
-        particular purpose are disclaimed in no event shall <<words:holder:200>> be liable for any direct indirect
+        particular purpose are disclaimed in no event shall <<words:holder>> be liable for any direct indirect
         incidental special exemplary or consequential damages including but not limited to procurement of
         substitute goods or services loss of use data or profits or business interruption however caused and on any
         theory of liability whether in contract strict liability or tort including negligence or otherwise arising
         in any way out of the use of this software even if advised of the possibility of such damage""",
     "zlib": """this software is provided as is without any express or implied warranty in no event will
-        <<words:holder:200>> be held liable for any damages arising from the use of this software permission is
+        <<words:holder>> be held liable for any damages arising from the use of this software permission is
         granted to anyone to use this software for any purpose including commercial applications and to alter it
         and redistribute it freely subject to the following restrictions <<optional>> 1 <<end>> the origin of this
         software must not be misrepresented you must not claim that you wrote the original software if you use this
@@ -97,14 +98,16 @@ TEMPLATES = {
         perpetuity of all present and future rights to this software under copyright law the software is provided as
         is without warranty of any kind express or implied including but not limited to the warranties of
         merchantability fitness for a particular purpose and noninfringement in no event shall
-        <<words:holder:200>> be liable for any claim damages or other liability whether in an action of contract
+        <<words:holder>> be liable for any claim damages or other liability whether in an action of contract
         tort or otherwise arising from out of or in connection with the software or the use or other dealings in
         the software <<optional>> for more information please refer to http|https unlicense org <<end>>""",
 }
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_MARK = re.compile(r"<<(optional|end|words:(\w+):(\d+))>>|([^\s<]+)")
+_MARK = re.compile(r"<<(optional|end|words:\w+)>>|([^\s<]+)")
 ANY = None
+#: Steps of a place after which what follows is remembered; most places end before.
+REMEMBER_FROM = 32
 RESULT = (
     "struct<n_words: bigint, n_base: bigint, first_word: bigint, last_word: bigint, base_labels: string, "
     "labels: string, score: double, matches: array<struct<label: string, first_word: bigint, last_word: bigint>>>"
@@ -118,8 +121,7 @@ class Automaton:
         self.steps: list[list[tuple[bytes | None, int]]] = [[]]
         self.silent: list[list[int]] = [[]]
         self.accepts: dict[int, str] = {}
-        self.closes: dict[int, set[int]] = {}  # at the end of the wording after a region: the region's states
-        self.closes: dict[int, set[int]] = {}  # what isn't followed any more once a state is reached
+        self.closes: dict[int, set[int]] = {}  # at the end of the wording after a region: the region's state
         for label, template in templates.items():
             start = self._state()
             self.silent[0].append(start)
@@ -138,7 +140,7 @@ class Automaton:
 
     def _compile(self, template: str, at: int) -> int:
         opened, region, out = [], set(), None
-        for kind, _, most, word in [*_MARK.findall(template), ("", "", "", "")]:
+        for kind, word in [*_MARK.findall(template), ("", "")]:
             if word:
                 either = word.encode().lower().split(b"|")
                 for parts in [either] if len(either) > 1 else [[p] for p in WORD.findall(either[0])]:
@@ -156,13 +158,11 @@ class Automaton:
                 self.silent[opened.pop()].append(new)
                 at = new
             elif kind:
-                out = self._state()
-                for _ in range(int(most)):
-                    new = self._state()
-                    region.add(new)
-                    self.steps[at].append((ANY, new))
-                    self.silent[new].append(out)
-                    at = new
+                new, out = self._state(), self._state()
+                region.add(new)
+                self.steps[at].append((ANY, new))
+                self.steps[new].append((ANY, new))
+                self.silent[new].append(out)
                 at = out
         if opened:
             raise ValueError("an optional region isn't closed")
@@ -184,15 +184,30 @@ class Automaton:
             after -= self.closes[s]
         return after, tuple(self.accepts[s] for s in after if s in self.accepts)
 
-    def matches(self, words: Iterator[bytes]) -> dict[str, int]:
-        """Labels of the templates that match from the first word on, with the words they take (the most)."""
-        states, found = self.start, {}
-        for n, word in enumerate(words, 1):
+    def matches(self, words: Iterator[tuple[int, bytes]], walked: dict) -> dict[str, int]:
+        """Labels of the templates that match from the first word on, with the place where each ends (the last).
+
+        ``words`` are (place, word); ``walked`` remembers what follows from a place and states.
+        """
+        states, path = self.start, []
+        found: dict[str, int] = {}
+        for place, word in words:
+            key = (place, states)
+            if key in walked:
+                found = walked[key]
+                break
             states, labels = self.next(states, word if word in self.known else None)
-            for label in labels:
-                found[label] = n
+            path.append((key, place, labels))
             if not states:
                 break
+        # Backwards: what follows from each step is what it finds, but for labels found later.
+        for n in range(len(path) - 1, -1, -1):
+            key, place, labels = path[n]
+            new = {label: place for label in labels if label not in found}
+            if new:
+                found = found | new
+            if n >= REMEMBER_FROM:
+                walked[key] = found
         return found
 
 
@@ -224,16 +239,18 @@ def scanner(templates: dict[str, str], phrases: dict[str, str]):
             n = int(first[i + 1] - first[i])
             places, labels, spans = [], set(), []
             text = blob[lo:hi]
-            for m in anchor.finditer(text):
-                words = (x[0] for x in WORD.finditer(text, m.start()))
-                found = automaton.matches(words)
+            walked: dict = {}
+            for begin in reversed([m.start() for m in anchor.finditer(text)]):
+                found = automaton.matches(((x.start(), x[0]) for x in WORD.finditer(text, begin)), walked)
                 if found:
-                    at = int(np.searchsorted(starts, lo + m.start()) - first[i])
-                    for label, count in found.items():
+                    number = lambda place: int(np.searchsorted(starts, lo + place) - first[i])  # noqa: E731, B023
+                    at = number(begin)
+                    for label, end in found.items():
                         if label[0] == "\0":
                             places.append((at, label[1:]))
                         labels.add(label.removeprefix("\0"))
-                        spans.append((label.removeprefix("\0"), at, at + count - 1))
+                        spans.append((label.removeprefix("\0"), at, number(end)))
+            spans.reverse()
             covered = 0
             reach = -1
             for _, a, b in sorted(spans, key=lambda s: s[1]):
@@ -255,10 +272,12 @@ def scanner(templates: dict[str, str], phrases: dict[str, str]):
 
 
 def scan_licenses(
-    df: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES
-) -> DataFrame:
-    """``df`` with one struct ``license``: word count, base places, labels, score and all matches.
+    df: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES,
+    into: str = "license",
+) -> DataFrame:
+    """``df`` with one struct ``into``: word count, base places, labels, score and all matches.
 
+    A column that has this name already is replaced; all others pass unread.
     ``score`` is the share of the words that lie inside a match. Words count from 0.
     """
     match = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
@@ -274,5 +293,5 @@ def scan_licenses(
         for column in columns:
             yield pa.array(run(column), kind)
 
-    return bounded_batches(df).withColumn("license", scan(F.col(text)))
+    return bounded_batches(df).withColumn(into, scan(F.col(text)))
 

@@ -174,6 +174,7 @@ def training_rows(
     Only labels with a document count. What one task gets is bounded by ``limit``,
     ``SAMPLE_CHARS`` and ``LONG_BYTES``; see ``within_budget``.
     """
+    docs = docs.select(doc_id, text)  # other columns may have any names
     known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
     known = known.where(F.col("__id").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__id"))).distinct()
     body = F.coalesce(F.col(text), F.lit(""))

@@ -6,7 +6,8 @@ without user functions.
 
 Empty, blank and null texts have no words: every count is 0, ratios over them are 0, and
 ``base_failed`` holds. Nothing depends on other rows, so ties and repeated rows are judged
-alike; other columns pass unread, whatever their names.
+alike; ``keep`` passes other columns unread, whatever their names, ``judge`` and
+``with_measures`` need them not to begin with two underscores.
 """
 
 from __future__ import annotations
@@ -160,5 +161,7 @@ def keep(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     would work it out anew. A row number (true of every row) holds it back.
     """
     kept = F.when(F.monotonically_increasing_id() >= 0, F.col("__verdict")["kept"])
-    judged = judge(df, text, rules).withColumn("__kept", kept)
-    return judged.where("__kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    # The caller's columns travel in one, whatever their names.
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    judged = judge(own, "text", rules).withColumn("__kept", kept)
+    return judged.where("__kept").select("row.*")
