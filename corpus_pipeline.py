@@ -23,8 +23,10 @@ _SCORE = "__quality_score"
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; it is fitted on the labels of the corpus."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, name=_SCORE)
-    return scored.where(F.col(_SCORE) >= QUALITY_FROM).drop(_SCORE)
+    name = _SCORE
+    while name in map(str.lower, docs.columns):  # a name that the table doesn't use
+        name += "_"
+    return quality.score(docs, model, name=name).where(F.col(name) >= QUALITY_FROM).drop(name)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

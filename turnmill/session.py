@@ -52,5 +52,9 @@ def complete_dirs(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, with its file system's scheme; nothing is created yet.
+
+    Without the scheme Spark and other readers might take the path for one of different stores.
+    """
+    fs, path = file_system(spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return fs.makeQualified(path).toString()
