@@ -43,8 +43,9 @@ COORDINATES = 128
 BRANCHING = 2.0
 BUCKET = 2_048
 DEPTH = 3
-#: Sets of one block of a bucket; a set of more shingles than ``HEAVY`` counts as several.
-BLOCK = 256
+#: Sets of one block of a bucket, so that a bucket of ordinary texts is one cell; a set of more
+#: shingles than ``HEAVY`` counts as several.
+BLOCK = BUCKET
 HEAVY = 4_096
 #: Edges up to which one task joins them: steps over one partition need no exchange.
 EDGES_PER_TASK = 1_000_000
