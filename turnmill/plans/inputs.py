@@ -143,7 +143,7 @@ def _point(k: str) -> str:
 PAYLOAD_COLUMNS = [
     "event_id",
     "event_type as location",
-    f"cast({_K} % 7 as int) as forecast_days",
+    f"cast(k % 7 as int) as forecast_days",
     "case when event_type = 'signup' and value < 5 then 429 when event_type = 'signup' and value < 8 then 503 else 200 end as geo_status",
     """case when event_type = 'purchase' and value < 5 then '[]'
             when event_type = 'purchase' and value < 8 then '[{"name": "Beij'
@@ -153,11 +153,12 @@ PAYLOAD_COLUMNS = [
     # Some bodies break off; a forecast has twelve points, fewer than some days ask for.
     f"""case when event_type = 'view' and value < 3 then '{{"list": [{{"main": '
             when event_type = 'view' and value < 5 then '{{"list": []}}'
-            when {_K} % 7 = 0 then {_point(_K)}
-            else '{{"list": [' || {" || ', ' || ".join(_point(f"{_K} + {i}") for i in range(POINTS))} || ']}}'
+            when k % 7 = 0 then {_point("k")}
+            else '{{"list": [' || {" || ', ' || ".join(_point(f"k + {i}") for i in range(POINTS))} || ']}}'
             end as body""",
 ]
-PAYLOAD_SQL = f"select {', '.join(PAYLOAD_COLUMNS)} from events"
+# The number in ``props`` is worked out once a row.
+PAYLOAD_SQL = f"select {', '.join(PAYLOAD_COLUMNS)} from (select *, {_K} as k from events)"
 
 
 def items(spark: SparkSession, folder: str, split: str | None = None) -> DataFrame:
@@ -182,4 +183,4 @@ def dialogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").selectExpr(*PAYLOAD_COLUMNS)
+    return table(spark, folder, "events").selectExpr("*", f"{_K} as k").selectExpr(*PAYLOAD_COLUMNS)
