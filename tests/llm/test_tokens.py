@@ -152,3 +152,33 @@ def test_bpe_odd(spark, odd, empty):
     for r in rows:
         assert bytes(r.bpe.ids) == library_ids(WORD, r.text).tobytes()
     assert bpe.encode_decode(empty, WORD).collect() == []
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_encoder_forgets(path, monkeypatch):
+    """Words and pieces that were forgotten are learned again; the same piece may be met in every generation."""
+    monkeypatch.setattr("turnmill.llm.tokens.PIECES", 7)
+    monkeypatch.setattr("turnmill.llm.tokens.WORDS", 3)
+    encoder = WordEncoder(path)
+    rng = np.random.default_rng(5)
+    words = ["alpha", "Beta,", "gamma.", "naïve", "x1", "$$$", "日本", "don't", "ALL", "é!"]
+    for _ in range(30):
+        some = [" ".join(rng.choice(words, 4)) + rng.choice(["", "\n", "  end", "\nnext line"]) for _ in range(3)]
+        some += ["", "   ", "a  b"]
+        assert encoder.encode(some) == [library_ids(path, t).tobytes() for t in some]
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+
+
+def test_files_of_few_documents(spark, monkeypatch):
+    """A file is closed after a number of documents too, in the middle of a task."""
+    monkeypatch.setattr(token_files, "FILE_DOCS", 3)
+    monkeypatch.setattr(token_files, "ENCODE_ROWS", 2)
+    rows = [(i, "some words " * (i % 4)) for i in range(11)]
+    manifest = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), BYTE)
+    assert manifest.count() > 1
+    got = token_files.read_token_files(manifest).orderBy("doc_id").collect()
+    assert [r.doc_id for r in got] == list(range(11))
+    start = 0
+    for r, (_, text) in zip(got, rows, strict=True):
+        assert r.start == start and bytes(r.ids) == library_ids(BYTE, text).tobytes() + (2).to_bytes(4, "little")
+        start += r.n_tokens

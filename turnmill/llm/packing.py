@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import bounded_batches, texts
-from turnmill.llm.tokens import WordEncoder
+from turnmill.llm.tokens import ENCODE_ROWS, WordEncoder
 
 TIERS = (512, 1024, 2048, 4096)
 #: Ids after which a chunk is packed.
@@ -190,8 +190,8 @@ def pack(
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 100):
-                some = batch.slice(i, 100)
+            for i in range(0, batch.num_rows, ENCODE_ROWS):
+                some = batch.slice(i, ENCODE_ROWS)
                 docs += some.column(0).to_pylist()
                 new = [ids + end for ids in encoder.encode(texts(some.column(1)))]
                 bodies += new

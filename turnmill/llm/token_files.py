@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import bounded_batches, filesystem, spread, staged, texts, write_file
-from turnmill.llm.tokens import WordEncoder
+from turnmill.llm.tokens import ENCODE_ROWS, WordEncoder
 from turnmill.session import run_dir
 
 BLOCK = 256
@@ -34,8 +34,8 @@ MAGIC = b"PFOR"
 #: Ids that are packed at a time, and after which a task opens its next file.
 SEGMENT_IDS = 1 << 20
 FILE_IDS = 1 << 26
-#: Texts encoded in one go.
-ENCODE_ROWS = 100
+#: Documents of a file: their ids and lengths are held until it is closed.
+FILE_DOCS = 1 << 20
 
 _HEAD = 8  # minimum u32, width u8, unused u8, exceptions u16
 _FOOT = "<QQQ"  # ids, documents, place of the lists
@@ -151,7 +151,8 @@ def write_token_files(
                     lengths += sizes
                     waiting += chunk[1]
                     n += sum(sizes)
-                    chunk = next(source, None) if total + n < FILE_IDS else None
+                    room = total + n < FILE_IDS and len(docs) < FILE_DOCS
+                    chunk = next(source, None) if room else None
                     if n >= SEGMENT_IDS or chunk is None:
                         ids = np.frombuffer(b"".join(waiting), dtype="<u4")
                         whole = len(ids) if chunk is None else len(ids) - len(ids) % BLOCK

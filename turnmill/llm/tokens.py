@@ -3,7 +3,9 @@
 A tokenizer that splits at white space gives a word the same ids wherever it stands. A
 text is cut before each run of white space; ids of the pieces are remembered by the Python
 worker, and only new pieces go to the library, many in one call. Texts for which such cuts
-might not hold (special tokens, control characters) go to the library whole.
+might not hold (special tokens, control characters) go to the library whole. The pieces of
+many texts are one Arrow column: each distinct piece is looked up once, and the column of
+their ids holds the ids of the texts one after the other.
 
 A piece that is one word of letters, perhaps with points and commas behind it, is put
 together from the ids of both; new words go to the library as one text with blanks between
@@ -17,12 +19,16 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from turnmill.llm.common import worker_store
 
-#: Words and pieces a worker remembers. Words not met for so many others are forgotten.
-WORDS = 150_000
-PIECES = 200_000
+#: Words and pieces after which a worker forgets those that it hasn't met for as many others.
+WORDS = 250_000
+PIECES = 250_000
+#: Texts whose pieces are looked up together.
+ENCODE_ROWS = 1_000
 #: Pieces of one call of the library.
 TOGETHER = 2_000
 
@@ -52,6 +58,7 @@ class WordEncoder:
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.edge = np.array([t.endswith(ending) if ending else t.startswith("Ġ") for t in tokens])
         self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
@@ -65,19 +72,19 @@ class WordEncoder:
         return store[path]
 
     @staticmethod
-    def keys(text: str) -> list[str] | None:
-        """Pieces of a text: the first behind a NUL, others without the one blank before them.
-
-        None if the text has to be encoded whole.
-        """
-        if any(c in text for c in _CONTROLS):
+    def spaced(text: str) -> str | None:
+        """A text with a blank before each piece, the first behind a NUL; None if white space is irregular."""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return None
+        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
             return None
-        regular = not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text)
-        if regular and len(text.split()) == text.count(" ") + text.count("\n") + 1:
-            keys = text.replace("\n", " \n").split(" ")
-        else:
-            keys = _PIECE.findall(text)
-            keys[1:] = [k[1:] if k[0] == " " and k[1:2].strip() else k for k in keys[1:]]
+        return "\0" + text.replace("\n", " \n")
+
+    @staticmethod
+    def keys(text: str) -> list[str]:
+        """Pieces of a text: the first behind a NUL, others without the one blank before them."""
+        keys = _PIECE.findall(text)
+        keys[1:] = [k[1:] if k[0] == " " and k[1:2].strip() else k for k in keys[1:]]
         keys[0] = "\0" + keys[0]
         return keys
 
@@ -138,16 +145,50 @@ class WordEncoder:
         if len(self.tails) > 1000:
             self.tails = {"": b""}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.keys(t) if t else [] for t in texts]
-        pieces = set().union(*(k for k in cut if k))
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > PIECES:
-            self.known.clear()
-            new = pieces
+    def _found(self, keys: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        out = list(map(self.known.get, keys))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        new = []
+        for i in missing:
+            ids = self.known_before.get(keys[i])
+            if ids is None:
+                new.append(keys[i])
+            else:
+                self.known[keys[i]] = ids
         if new:
-            self.learn(list(new))
-        known = self.known.__getitem__
-        return [
-            self._ids(t).tobytes() if k is None else b"".join(map(known, k)) for t, k in zip(texts, cut, strict=True)
-        ]
+            self.learn(new)
+        for i in missing:
+            out[i] = self.known[keys[i]]
+        if len(self.known) > PIECES:
+            self.known, self.known_before = {}, self.known
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        at, spaced, rest, cuts = [], [], [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if any(c in text for c in _CONTROLS):
+                out[i] = self._ids(text).tobytes()
+            elif (regular := self.spaced(text)) is not None:
+                at.append(i)
+                spaced.append(regular)
+            else:
+                rest.append(i)
+                cuts.append(self.keys(text))
+        if not at and not rest:
+            return out
+        parts = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        more = pa.array([k for keys in cuts for k in keys], pa.large_string())
+        sizes = np.concatenate([np.diff(parts.offsets.to_numpy()), np.array([len(k) for k in cuts], dtype=np.int64)])
+        pieces = pa.concat_arrays([parts.flatten(), more]).dictionary_encode()
+        ids = pa.array(self._found(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
+        # The values of a binary column stand one after the other: a text's ids are one slice.
+        _, places, raw = ids.buffers()
+        ends = np.frombuffer(places, dtype=np.int64, count=len(ids) + 1)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        whole = memoryview(raw) if raw is not None else b""
+        for i, a, b in zip([*at, *rest], ends[:-1], ends[1:], strict=True):
+            out[i] = bytes(whole[a:b])
+        return out
