@@ -31,9 +31,18 @@ def bounded_batches(df: DataFrame) -> DataFrame:
 
 
 def worker_store(name: str) -> dict:
-    """A dict that lives as long as the Python worker, over all its tasks."""
+    """A dict that the Python worker keeps over all tasks that use it.
+
+    Workers outlive stages: one that asks for another store lets go of what it kept before,
+    so an encoder's remembered words don't weigh on the stages behind it.
+    """
     module = sys.modules.setdefault("_turnmill_worker", types.ModuleType("_turnmill_worker"))
-    return module.__dict__.setdefault(name, {})
+    stores = module.__dict__.setdefault("stores", {})
+    if name not in stores:
+        stores.clear()
+        stores[name] = {}
+        pa.default_memory_pool().release_unused()
+    return stores[name]
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
