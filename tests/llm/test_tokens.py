@@ -12,7 +12,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from turnmill.llm import bpe, packing, queries, token_files
+from turnmill.llm import bpe, packing, queries, token_files, tokens
+from turnmill.llm.common import worker_store
 from turnmill.llm.tokens import WordEncoder
 
 from .conftest import FOLDER, ODD
@@ -36,6 +37,21 @@ def test_word_encoder(path):
     assert encoder.encode(TEXTS) == [library_ids(path, t).tobytes() for t in TEXTS]
 
 
+@pytest.mark.parametrize("chars", [1, 50, 100_000])
+def test_word_encoder_in_slices(monkeypatch, chars):
+    monkeypatch.setattr(tokens, "ENCODE_CHARS", chars)
+    assert WordEncoder(WORD).encode(TEXTS) == [library_ids(WORD, t).tobytes() for t in TEXTS]
+    assert WordEncoder(WORD).encode([]) == []
+
+
+def test_worker_keeps_one_store():
+    first = worker_store("test-a")
+    first["x"] = 1
+    assert worker_store("test-a") is first
+    assert worker_store("test-b") == {}
+    assert worker_store("test-a") == {}
+
+
 def test_rank_bpe():
     coder = bpe.RankBPE(WORD)
     for text, got in zip(TEXTS, coder.encode(TEXTS), strict=True):

@@ -25,10 +25,11 @@ import pyarrow.compute as pc
 from turnmill.llm.common import worker_store
 
 #: Words and pieces after which a worker forgets those that it hasn't met for as many others.
-WORDS = 250_000
-PIECES = 250_000
-#: Texts whose pieces are looked up together.
+WORDS = 200_000
+PIECES = 200_000
+#: Texts whose pieces are looked up together, and their characters (a longer text goes alone).
 ENCODE_ROWS = 1_000
+ENCODE_CHARS = 4_000_000
 #: Pieces of one call of the library.
 TOGETHER = 2_000
 
@@ -165,6 +166,17 @@ class WordEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        start, size = 0, 0
+        for i, text in enumerate(texts):
+            if i > start and size + len(text) > ENCODE_CHARS:
+                out += self._together(texts[start:i])
+                start, size = i, 0
+            size += len(text)
+        return out + self._together(texts[start:])
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose pieces are one column."""
         out = [b""] * len(texts)
         at, spaced, rest, cuts = [], [], [], []
         for i, text in enumerate(texts):
