@@ -198,3 +198,20 @@ def test_files_of_few_documents(spark, monkeypatch):
     for r, (_, text) in zip(got, rows, strict=True):
         assert r.start == start and bytes(r.ids) == library_ids(BYTE, text).tobytes() + (2).to_bytes(4, "little")
         start += r.n_tokens
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_encoder_remembers_a_word_once(path):
+    """A word that is a piece of its own takes one entry, not one as a piece and one as a word."""
+    encoder = WordEncoder(path)
+    text = " ".join(["go"] + [a + b + c for a in "abcdefgh" for b in "aeiou" for c in "lmnrst"])
+    assert encoder.encode([text]) == [library_ids(path, text).tobytes()]
+    held = sum(len(v) for k, v in vars(encoder).items() if isinstance(v, dict) and k != "tails")
+    assert held <= 1.05 * len(text.split())
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@pytest.mark.parametrize("space", ["\t", "\r", "\x0b", "\x0c", "\x1c", " ", "\n", "\xa0", " "])
+def test_word_encoder_white_space(path, space):
+    texts = [space, f"{space}a b", f"a b{space}", f"a{space}b c", f"é{space}ö", f"a {space} b"]
+    assert WordEncoder(path).encode(texts) == [library_ids(path, t).tobytes() for t in texts]

@@ -14,9 +14,12 @@ them, whose ids are parted where words begin (or end, if the tokenizer marks end
 
 from __future__ import annotations
 
+import itertools
 import json
+import operator
 import os
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +27,9 @@ import pyarrow.compute as pc
 
 from turnmill.llm.common import worker_store
 
-#: Words and pieces after which a worker forgets those that it hasn't met for as many others.
-WORDS = 200_000
-PIECES = 200_000
+#: Pieces, and words in them, that a worker remembers; at their sum it forgets those that it hasn't met for as many others.
+PIECES = 150_000
+WORDS = 100_000
 #: Texts whose pieces are looked up together, and their characters (a longer text goes alone).
 ENCODE_ROWS = 1_000
 ENCODE_CHARS = 4_000_000
@@ -35,6 +38,7 @@ TOGETHER = 2_000
 
 _PIECE = re.compile(r"\s*\S+|\s+")
 _CONTROLS = ("<|", "\0", "\x1c", "\x1d", "\x1e", "\x1f")
+_ASCII_SPACES = "\t\r\x0b\x0c"
 _POINTS = ".,;:!?"
 SEPARATOR = "<|endoftext|>"
 
@@ -60,8 +64,6 @@ class WordEncoder:
         self.edge = np.array([t.endswith(ending) if ending else t.startswith("Ġ") for t in tokens])
         self.known: dict[str, bytes] = {}
         self.known_before: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
     @classmethod
@@ -77,7 +79,10 @@ class WordEncoder:
         """A text with a blank before each piece, the first behind a NUL; None if white space is irregular."""
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
             return None
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        if text.isascii():  # the NUL and four separators are ruled out before
+            if any(c in text for c in _ASCII_SPACES) or text[0] in " \n" or text[-1] in " \n":
+                return None
+        elif len(text.split()) != text.count(" ") + text.count("\n") + 1:
             return None
         return "\0" + text.replace("\n", " \n")
 
@@ -113,55 +118,52 @@ class WordEncoder:
         raw = ids.tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
+    def _tail(self, points: str) -> bytes:
+        if points not in self.tails:
+            if len(self.tails) > 1000:
+                self.tails = {"": b""}
+            self.tails[points] = self._ids(points).tobytes()
+        return self.tails[points]
+
+    def _unknown(self, keys: Iterable[str]) -> list[str]:
+        """Those of distinct keys that aren't known; what the generation before knew moves up."""
+        known, before = self.known, self.known_before
+        missing = [k for k in keys if k not in known]
+        new = [k for k in missing if k not in before]
+        if len(new) < len(missing):
+            known.update((k, before[k]) for k in missing if k in before)
+        return new
+
     def learn(self, keys: list[str]) -> None:
-        plain, other = [], []
-        for key in keys:
-            # Where ends are marked, white space before a word makes no difference.
-            bare = key.lstrip("\0\n") if self.marks_ends else key
-            word = bare.rstrip(_POINTS)
-            if word.isalpha():
-                folded = word.lower() if self.marks_ends and word.isascii() else word
-                plain.append((key, folded, bare[len(word) :]))
-            else:
-                other.append(key)
+        """Ids of new pieces; the words in them are remembered as pieces of their own."""
+        # Where ends are marked, white space before a word makes no difference.
+        bare = [k.lstrip("\0\n") for k in keys] if self.marks_ends else keys
+        words = [b.rstrip(_POINTS) for b in bare]
+        alone = [w.isalpha() for w in words]
+        other = list(itertools.compress(keys, map(operator.not_, alone)))
         for i in range(0, len(other), TOGETHER):
             some = other[i : i + TOGETHER]
             self.known.update(zip(some, self._parted(list(map(self.piece, some))), strict=True))
-        new = []
-        for word in {w for _, w, _ in plain}:
-            if word not in self.words:
-                if word in self.older:
-                    self.words[word] = self.older[word]
-                else:
-                    new.append(word)
+        if self.marks_ends:
+            words = [w.lower() if w.isascii() else w for w in words]
+        new = self._unknown(set(itertools.compress(words, alone)))
         for i in range(0, len(new), TOGETHER):
             some = new[i : i + TOGETHER]
-            self.words.update(zip(some, self._new_words(some), strict=True))
-        for key, word, tail in plain:
-            if tail not in self.tails:
-                self.tails[tail] = self._ids(tail).tobytes()
-            self.known[key] = self.words[word] + self.tails[tail]
-        if len(self.words) > WORDS:
-            self.words, self.older = {}, self.words
-        if len(self.tails) > 1000:
-            self.tails = {"": b""}
+            self.known.update(zip(some, self._new_words(some), strict=True))
+        known, tail = self.known, self._tail
+        for key, whole, word in itertools.compress(zip(keys, bare, words, strict=True), alone):
+            if len(whole) > len(word):
+                known[key] = known[word] + tail(whole[len(word) :])
+            elif key is not word:
+                known[key] = known[word]
 
     def _found(self, keys: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
-        out = list(map(self.known.get, keys))
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        new = []
-        for i in missing:
-            ids = self.known_before.get(keys[i])
-            if ids is None:
-                new.append(keys[i])
-            else:
-                self.known[keys[i]] = ids
+        new = self._unknown(keys)
         if new:
             self.learn(new)
-        for i in missing:
-            out[i] = self.known[keys[i]]
-        if len(self.known) > PIECES:
+        out = list(map(self.known.__getitem__, keys))
+        if len(self.known) > PIECES + WORDS:
             self.known, self.known_before = {}, self.known
         return out
 
@@ -196,7 +198,7 @@ class WordEncoder:
         more = pa.array([k for keys in cuts for k in keys], pa.large_string())
         sizes = np.concatenate([np.diff(parts.offsets.to_numpy()), np.array([len(k) for k in cuts], dtype=np.int64)])
         pieces = pa.concat_arrays([parts.flatten(), more]).dictionary_encode()
-        ids = pa.array(self._found(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
+        ids = pa.array(self._found(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(pieces.indices)
         # The values of a binary column stand one after the other: a text's ids are one slice.
         _, places, raw = ids.buffers()
         ends = np.frombuffer(places, dtype=np.int64, count=len(ids) + 1)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
