@@ -305,3 +305,25 @@ def test_scans_are_pruned(spark):
     assert "EqualTo(role,user)" in text
     text = plan(contract.queries()["tool_usage"](spark, FOLDER))
     assert "ts:" not in text
+
+
+def test_broadcast_queries_are_searched_some_at_a_time(spark, monkeypatch):
+    """What a worker holds for the finds of a batch doesn't grow with the queries."""
+    nearest = vectors._nearest
+
+    def watched(queries, *rest):
+        assert len(queries) <= 7
+        return nearest(queries, *rest)
+
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((50, 6)).astype(np.float32)
+    members = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "chunk_id long, embedding array<float>")
+    queries = members.withColumnRenamed("chunk_id", "query_id")
+    want = vectors.top_k(queries, members, k=4).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(vectors, "QUERIES", 7)
+    monkeypatch.setattr(vectors, "_nearest", watched)
+    got = vectors.top_k(queries, members.repartition(3), k=4).orderBy("query_id", "rank").collect()
+    assert got == want
+    wide = points.astype(np.float64)
+    gaps = ((wide[:, None] - wide[None]) ** 2).sum(axis=2)
+    assert [r.chunk_id for r in got] == [int(c) for row in gaps for c in np.lexsort((np.arange(50), row))[:4]]

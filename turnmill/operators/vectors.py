@@ -20,6 +20,10 @@ from turnmill.functions import text as tx
 from turnmill.session import shared_dir
 
 METADATA = "map<string,string>"
+#: Pairs whose distances a task holds at a time.
+PAIRS = 1_000_000
+#: Broadcast queries whose finds are merged at a time.
+QUERIES = 4_096
 
 
 # Metadata, normalisation, upsert ---------------------------------------------------------
@@ -98,7 +102,7 @@ def _best(query: np.ndarray, distance: np.ndarray, ids: np.ndarray, k: int):
 
 def _nearest(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
     """Flat ``(query number, squared distance, id)`` of the k nearest vectors of each query."""
-    tile = max(1, 4_000_000 // max(1, len(vectors)))
+    tile = max(1, PAIRS // max(1, len(vectors)))
     squares = (vectors * vectors).sum(axis=1)
     by_place = np.argsort(ids, kind="stable")
     place = np.empty(len(ids), dtype=np.int64)  # where each vector stands in id order
@@ -143,27 +147,38 @@ def _result_schema(queries: DataFrame, collection: DataFrame) -> T.StructType:
 
 
 def _search_with_broadcast(queries: DataFrame, collection: DataFrame, k: int) -> DataFrame:
-    """One pass over the collection; each task keeps k candidates per query."""
+    """One pass over the collection; each task keeps k candidates per query.
+
+    Queries are sent in the precision they have and searched a few thousand at a time: of what
+    a worker holds only they and their candidates grow with their number.
+    """
     schema = _result_schema(queries, collection)
     table = queries.select("query_id", "embedding").toArrow()  # no more than the checked size
-    names = table.column("query_id").combine_chunks()
-    shared = collection.sparkSession.sparkContext.broadcast((names, _matrix(table.column("embedding"))))
+    names, column = table.column("query_id").combine_chunks(), table.column("embedding")
+    exact = column.type.value_type.to_pandas_dtype()
+    shared = collection.sparkSession.sparkContext.broadcast((names, _matrix(column).astype(exact)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_names, matrix = shared.value
-        best, id_type = None, None
+        starts = range(0, len(matrix), QUERIES)
+        best, id_type = [None] * len(starts), None
         for batch in batches:
-            if not batch.num_rows or not len(matrix):
+            if not batch.num_rows:
                 continue
             id_type = batch.column(0).type
-            new = _nearest(matrix, _matrix(batch.column(1)), _ids(batch.column(0)), k)
-            merged = new if best is None else tuple(map(np.concatenate, zip(best, new, strict=True)))
-            best = _best(*merged, k)
-        if best is not None:
-            yield pa.RecordBatch.from_arrays(
-                [query_names.take(pa.array(best[0])), pa.array(best[2].tolist(), type=id_type), pa.array(best[1])],
-                names=["query_id", "chunk_id", "distance"],
-            )
+            vectors, ids = _matrix(batch.column(1)), _ids(batch.column(0))
+            for i, start in enumerate(starts):
+                new = _nearest(matrix[start : start + QUERIES].astype(np.float64), vectors, ids, k)
+                if best[i] is not None:
+                    new = _best(*map(np.concatenate, zip(best[i], new, strict=True)), k)
+                best[i] = new
+        for start, found in zip(starts, best, strict=True):
+            if found is not None:
+                query, distance, ids = found
+                yield pa.RecordBatch.from_arrays(
+                    [query_names.take(pa.array(start + query)), pa.array(ids.tolist(), type=id_type), pa.array(distance)],
+                    names=["query_id", "chunk_id", "distance"],
+                )
 
     members = collection.where(F.col("embedding").isNotNull()).select("chunk_id", "embedding")
     return _top_per_query(members.mapInArrow(scan, schema), k)
