@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,54 @@ def test_ivf_of_few(spark):
     assert found == [(1, 1), (2, 2), (3, 0)]
     nothing = members.where("chunk_id < 0")
     assert ivf.search(ivf.build(nothing), asked.where("query_id < 0")).collect() == []
+
+
+def test_ivf_sends_no_query_to_each_list(spark):
+    """Queries are sent to one block each, and candidates are measured where they are found."""
+    vecs = inputs.table(spark, FOLDER, "embeddings")
+    members, asked = (vecs.select(F.col("vec_id").alias(k), "embedding") for k in ("chunk_id", "query_id"))
+    found = ivf.search(ivf.build(members), asked)
+    assert "FlatMapCoGroupsInArrow" not in found._jdf.queryExecution().toString()
+    found.write.format("noop").mode("overwrite").save()
+
+
+@pytest.mark.parametrize("held", [1, 2_000_000])
+def test_ivf_block_holds_the_best(monkeypatch, held):
+    """Like all codes of the visited lists sorted at once; of equal ones the first met."""
+    monkeypatch.setattr(ivf, "HELD", held)
+    monkeypatch.setattr(ivf, "PAIRS", 700)
+    rng = np.random.default_rng(3)
+    points = np.round(rng.standard_normal((600, 8)), 1)
+    points[100:160] = points[100]
+    lists = ivf.train(points, 12)
+    own = lists.list_of(points)
+    order = np.argsort(own, kind="stable")
+    rows = np.bincount(own, minlength=len(lists.centres))
+    asked, probes, measured, k = points[90:130], 5, 20, 3
+    block = ivf.Block(lists, rows, pa.array(range(len(asked))), asked, probes, measured)
+    want = []
+    for i, seen in enumerate(ivf._visits(lists, rows, asked, probes, measured)):
+        rough = np.full(len(points), np.inf, dtype=np.float32)
+        for l in np.flatnonzero(seen):
+            mine = np.flatnonzero(own == l)
+            rough[mine] = lists.rough(asked[i : i + 1] - lists.centres[l], lists.codes(points[mine] - lists.centres[l]))[0]
+        best = order[np.argsort(rough[order], kind="stable")[:measured]]
+        exact = ((points[best] - asked[i]) ** 2).sum(axis=1)
+        want += [(i, int(c)) for c in best[np.lexsort((best, exact.round(9)))[:k]]]
+    for l in range(len(rows)):
+        mine = np.flatnonzero(own == l)
+        block.meet(l, pa.array(mine), lists.codes(points[mine] - lists.centres[l]), points[mine])
+    names, ids = block.nearest(k)
+    assert sorted(zip(names.to_pylist(), ids.to_pylist())) == sorted(want)
+    assert len(block.ids[0]) <= len(asked) * measured
+
+
+def test_ivf_of_repeated_rows(spark):
+    """Text ids, rows that come twice, blocks of one query."""
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((60, 4))
+    members = frame(spark, [(f"c{i % 40}", points[i % 40].tolist()) for i in range(60)], "chunk_id string, embedding array<double>")
+    asked = frame(spark, [(i % 5, points[i % 5].tolist()) for i in range(7)], "query_id int, embedding array<double>")
+    found = ivf.search(ivf.build(members), asked, k=2, queries_per_block=1).collect()
+    assert {(r.query_id, r.chunk_id) for r in found} == {(i, f"c{i}") for i in range(5)}
+    assert {r["rank"] for r in found} == {1, 2} and len(found) == 10

@@ -17,12 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnmill import fixed
-from turnmill.operators.vectors import _matrix, _top_per_query, _vectors, pivots
+from turnmill.operators.vectors import _best, _ids, _matrix, _top_per_query, _vectors, pivots
 from turnmill.session import stored
 
 #: Vectors to train on, those of least id hash; with their dimensions, all that the driver sees.
@@ -34,6 +34,11 @@ MOST_LISTS = 65_536
 #: Sampled vectors that ask for their neighbours in the sample.
 ASKED = 256
 RECALL = 0.97
+#: Pairs of queries and codes measured at a time, and finds after which a block keeps only its best.
+PAIRS = 500_000
+HELD = 500_000
+#: Queries times lists of one block.
+MARKS = 32_000_000
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,7 +118,7 @@ class Lists:
 
 @dataclass(frozen=True)
 class Index:
-    """``members`` (list, chunk_id, code) and ``vectors`` (chunk_id, embedding) are written tables.
+    """``members`` (list, chunk_id, code, embedding) and ``vectors`` (chunk_id, embedding) are written tables.
 
     ``sizes`` is the manifest: the rows of each list. ``probes`` lists are visited by a query.
     """
@@ -174,42 +179,143 @@ def build(collection: DataFrame, *, k: int = fixed.NEIGHBOURS, recall: float = R
                 own = trained.list_of(matrix)
                 code = trained.codes(matrix - trained.centres[own])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int32()), batch.column(0), pa.array([c.tobytes() for c in code], pa.binary())],
-                    names=["list", "chunk_id", "code"],
+                    [pa.array(own, pa.int32()), batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), batch.column(1)],
+                    names=["list", "chunk_id", "code", "embedding"],
                 )
 
     schema = T.StructType(
-        [T.StructField("list", T.IntegerType()), vectors.schema["chunk_id"], T.StructField("code", T.BinaryType())]
-    )
+        [
+            T.StructField("list", T.IntegerType()), vectors.schema["chunk_id"],
+            T.StructField("code", T.BinaryType()), vectors.schema["embedding"],
+        ]
+    )
     members = stored(vectors.mapInArrow(assign, schema), "ivf-members")
     sizes = stored(members.groupBy("list").agg(F.count(F.lit(1)).alias("rows")), "ivf-sizes")
     return Index(trained, probes, members, vectors, sizes)
 
 
+def _rows_of(index: Index) -> np.ndarray:
+    rows = np.zeros(len(index.lists.centres), dtype=np.int64)
+    for r in index.sizes.collect():  # a row a list
+        rows[r["list"]] = r["rows"]
+    return rows
+
+
+def _visits(lists: Lists, rows: np.ndarray, vectors: np.ndarray, count: int, least: int) -> np.ndarray:
+    """Whether each query visits each list."""
+    out = np.zeros((len(vectors), len(rows)), dtype=bool)
+    tile = max(1, PAIRS // len(rows))
+    for start in range(0, len(vectors), tile):
+        order = np.argsort(_squares(vectors[start : start + tile], lists.centres), axis=1, kind="stable")
+        before = np.cumsum(rows[order], axis=1) - rows[order]
+        query, place = np.nonzero((np.arange(order.shape[1]) < count) | (before < least))
+        out[start + query, order[query, place]] = True
+    return out
+
+
 def visited(index: Index, queries: DataFrame, probes: int | None = None, least: int = 1) -> DataFrame:
     """(query_id, embedding, list) for the lists each query visits: the nearest ``probes``, and more
     until they hold ``least`` vectors together."""
-    trained, count = index.lists, probes or index.probes
-    rows = np.zeros(len(trained.centres), dtype=np.int64)
-    for r in index.sizes.collect():  # a row a list
-        rows[r["list"]] = r["rows"]
+    trained, count, rows = index.lists, probes or index.probes, _rows_of(index)
     asked = _vectors(queries, "query_id")
     schema = T.StructType([*asked.schema.fields, T.StructField("list", T.IntegerType())])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile = max(1, 8_000_000 // len(trained.centres))
+        tile = max(1, PAIRS // len(rows))
         for whole in batches:
             for start in range(0, whole.num_rows, tile):
                 batch = whole.slice(start, tile)
-                order = np.argsort(_squares(_matrix(batch.column(1)), trained.centres), axis=1, kind="stable")
-                before = np.cumsum(rows[order], axis=1) - rows[order]
-                query, place = np.nonzero((np.arange(order.shape[1]) < count) | (before < least))
-                chosen = pa.array(order[query, place].astype(np.int32))
+                query, own = np.nonzero(_visits(trained, rows, _matrix(batch.column(1)), count, least))
+                chosen = pa.array(own.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*batch.take(pa.array(query)).columns, chosen], names=schema.names)
 
     return asked.mapInArrow(choose, schema)
 
 
+class Block:
+    """Queries that meet the lists they visit one after the other.
+
+    For each query the ``measured`` best codes so far are held (of equal ones those met first),
+    with their exact distances, so neither the codes nor the vectors met have to be.
+    """
+
+    def __init__(self, lists: Lists, rows: np.ndarray, names: pa.Array, vectors: np.ndarray, probes: int, measured: int):
+        self.lists, self.names, self.vectors, self.measured = lists, names, vectors, measured
+        self.seen = _visits(lists, rows, vectors, probes, measured)
+        self.limit = np.full(len(vectors), np.inf, dtype=np.float32)
+        self.best = (np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0))
+        self.new: list[tuple[np.ndarray, ...]] = []
+        self.held = 0
+        self.ids: list[pa.Array] = []
+        self.met = 0
+
+    def meet(self, own: int, ids: pa.Array, codes: np.ndarray, vectors: np.ndarray) -> None:
+        rows = np.flatnonzero(self.seen[:, own])
+        if not len(rows):
+            return
+        tile = max(1, PAIRS // max(len(codes), 256))
+        for start in range(0, len(rows), tile):
+            some = rows[start : start + tile]
+            rough = self.lists.rough(self.vectors[some] - self.lists.centres[own], codes)
+            row, col = np.nonzero(rough < self.limit[some, None])
+            if len(row) > self.measured * len(some):
+                col = np.argsort(rough, axis=1, kind="stable")[:, : self.measured]
+                row, col = np.repeat(np.arange(len(some)), col.shape[1]), col.ravel()
+                near = rough[row, col] < self.limit[some[row]]
+                row, col = row[near], col[near]
+            if not len(row):
+                continue
+            exact = np.empty(len(row))
+            for i in range(0, len(row), 10_000):
+                gap = self.vectors[some[row[i : i + 10_000]]] - vectors[col[i : i + 10_000]]
+                exact[i : i + 10_000] = np.cumsum(gap * gap, axis=1)[:, -1]
+            self.new.append((some[row], rough[row, col], self.met + col, exact))
+            self.held += len(row)
+        self.ids.append(ids)
+        self.met += len(ids)
+        if self.held >= max(HELD, len(self.names) * self.measured // 2):
+            self.keep()
+
+    def keep(self) -> None:
+        """Only the best are held on, and of the ids only theirs."""
+        row, rough, at, exact = (np.concatenate(x) for x in zip(self.best, *self.new, strict=True))
+        order = np.lexsort((at, rough, row))
+        row, rough, at, exact = row[order], rough[order], at[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        last = place == self.measured - 1
+        self.limit[row[last]] = rough[last]
+        near = place < self.measured
+        used, at = np.unique(at[near], return_inverse=True)
+        if self.ids:
+            self.ids = [pa.concat_arrays(self.ids).take(pa.array(used))]
+        self.best, self.new, self.held, self.met = (row[near], rough[near], at, exact[near]), [], 0, len(used)
+
+    def nearest(self, k: int) -> tuple[pa.Array, pa.Array] | None:
+        """The names of queries and the ids of the k nearest by exact distance."""
+        self.keep()
+        row, _, at, exact = self.best
+        if not len(row):
+            return None
+        order = np.lexsort((exact, row))
+        row, at, exact = row[order], at[order], exact[order]
+        first = np.searchsorted(row, row)
+        kth = exact[np.minimum(first + k, np.searchsorted(row, row, side="right")) - 1]
+        near = exact <= kth  # of equal distances the least ids
+        row, at, exact = row[near], at[near], exact[near]
+        pool = self.ids[0].take(pa.array(at))
+        row, _, place = _best(row, exact, np.unique(_ids(pool), return_inverse=True)[1] * len(pool) + np.arange(len(pool)), k)
+        return self.names.take(pa.array(row)), pool.take(pa.array(place % len(pool)))
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(block, list, rows) of the runs of a sorted batch."""
+    block, own = batch.column("block").to_numpy(), batch.column("list").to_numpy()
+    cuts = np.flatnonzero((block[1:] != block[:-1]) | (own[1:] != own[:-1])) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+        if b > a:
+            yield int(block[a]), int(own[a]), batch.slice(a, b - a)
+
+
 def search(
     index: Index,
     queries: DataFrame,
@@ -217,60 +323,102 @@ def search(
     *,
     probes: int | None = None,
     measured: int | None = None,
-    queries_per_block: int = 2_048,
+    queries_per_block: int = 16_384,
     members_per_block: int = 65_536,
 ) -> DataFrame:
     """(query_id, rank, chunk_id, distance): the k nearest of the ``measured`` best codes of the visited lists.
 
-    A list of any size is cut into blocks on both sides; a task compares two blocks and sends
-    ``measured`` candidates a query (20 k if not said).
+    Queries are dealt to blocks of like size along the lists they lie in, two for each core and
+    more if they would hold over ``queries_per_block``. A list travels once to each block with
+    a query that visits it, and its members stream by, up to ``members_per_block`` at a time:
+    what a task holds is bounded by its queries, and what is shuffled doesn't depend on how
+    many lists a query visits.
     """
     measured = measured or 20 * k
-    trained = index.lists
-    asked = visited(index, queries, probes, measured)
-    # A row a list: no more than there are centres.
-    sizes = F.broadcast(
-        index.sizes.select("list", F.ceil(F.col("rows") / members_per_block).cast("int").alias("mbs")).join(
-            asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / queries_per_block).cast("int").alias("qbs")), "list"
-        )
-    )
+    trained, count, rows = index.lists, probes or index.probes, _rows_of(index)
+    spark = queries.sparkSession
+    asked = _vectors(queries, "query_id")
 
-    def dealt(df: DataFrame, key: str, value: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        return df.join(sizes, "list").select(
-            key, value, "list", F.pmod(F.xxhash64(key), F.col(own_n)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)).alias(other),
-        )
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                own = trained.list_of(_matrix(batch.column(1)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32())], names=["query_id", "embedding", "home"])
 
-    left = dealt(asked, "query_id", "embedding", "qb", "qbs", "mb", "mbs")
-    right = dealt(index.members, "chunk_id", "code", "mb", "mbs", "qb", "qbs")
-    schema = T.StructType(
-        [asked.schema["query_id"], index.members.schema["chunk_id"], T.StructField("distance", T.DoubleType())]
+    placed = stored(
+        asked.mapInArrow(home, T.StructType([*asked.schema.fields, T.StructField("home", T.IntegerType())])), "ivf-asked"
     )
-
-    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        names, ids = ours.column("query_id").combine_chunks(), theirs.column("chunk_id").combine_chunks()
-        row, col, gap = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], [np.empty(0)]
-        if ours.num_rows and theirs.num_rows:
-            centre = trained.centres[ours.column("list")[0].as_py()]
-            residuals = _matrix(ours.column("embedding")) - centre
-            codes = np.frombuffer(b"".join(theirs.column("code").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-            tile = max(1, 4_000_000 // len(codes))
-            for start in range(0, len(residuals), tile):
-                rough = trained.rough(residuals[start : start + tile], codes)
-                best = np.argpartition(rough, min(measured, len(codes)) - 1, axis=1)[:, :measured]
-                row.append(np.repeat(np.arange(start, start + len(rough)), best.shape[1]))
-                col.append(best.ravel())
-                gap.append(np.take_along_axis(rough, best, axis=1).ravel().astype(np.float64))
-        row, col, gap = map(np.concatenate, (row, col, gap))
-        return pa.table({"query_id": names.take(pa.array(row)), "chunk_id": ids.take(pa.array(col)), "distance": gap})
-
-    keys = ("list", "qb", "mb")
-    rough = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, schema)
-    nearest = Window.partitionBy("query_id").orderBy("distance", "chunk_id")
-    best = rough.withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= measured).select("query_id", "chunk_id")
-    pairs = best.join(_vectors(queries, "query_id"), "query_id").join(
-        index.vectors.withColumnRenamed("embedding", "_theirs"), "chunk_id"
+    homes = np.zeros(len(rows), dtype=np.int64)
+    for r in placed.groupBy("home").count().collect():  # a row a list
+        homes[r["home"]] = r["count"]
+    total = int(homes.sum())
+    most = max(1, min(queries_per_block, MARKS // len(rows)))
+    blocks = max(1, min(2 * spark.sparkContext.defaultParallelism, total), -(-total // most))
+    # A query stands somewhere in the stretch of its list; equal stretches are blocks.
+    starts = (np.cumsum(homes) - homes).tolist()
+    stretch = spark.createDataFrame(
+        [(i, a, int(n)) for i, (a, n) in enumerate(zip(starts, homes, strict=True)) if n], "home int, first long, of long"
+    )
+    place = F.col("first") + F.pmod(F.xxhash64("query_id"), F.col("of"))
+    dealt = placed.join(F.broadcast(stretch), "home").withColumn(
+        "block", F.floor(place * blocks / F.lit(max(1, total))).cast("int")
     )
+
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column(0).to_numpy()
+            seen = _visits(trained, rows, _matrix(batch.column(1)), count, measured) if len(block) else None
+            for b in np.unique(block):
+                own = np.flatnonzero(seen[block == b].any(axis=0)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), b, dtype=np.int32)), pa.array(own)], names=["block", "list"]
+                )
+
+    wanted = dealt.select("block", "embedding").mapInArrow(needed, "block int, list int")
+    # A row a list, with the blocks it goes to.
+    wanted = wanted.groupBy("list").agg(F.collect_set("block").alias("blocks"))
+    members = index.members.join(F.broadcast(wanted), "list").select(
+        F.explode("blocks").alias("block"), "list", F.lit(None).cast(asked.schema["query_id"].dataType).alias("query_id"),
+        "chunk_id", "code", "embedding",
+    )
+    chunk = index.members.schema["chunk_id"].dataType
+    both = dealt.select(
+        "block", F.lit(-1).alias("list"), "query_id", F.lit(None).cast(chunk).alias("chunk_id"),
+        F.lit(None).cast("binary").alias("code"), "embedding",
+    ).unionByName(members)
+    # The queries of a block come first.
+    stream = both.repartitionById(blocks, "block").sortWithinPartitions("block", "list", "chunk_id")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, names, matrices, block = None, [], [], None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            pair = block.nearest(k) if block else None
+            if pair:
+                yield pa.RecordBatch.from_arrays(list(pair), names=["query_id", "chunk_id"])
+
+        for batch in batches:
+            for number, own, run in _runs(batch):
+                if number != now:
+                    yield from found()
+                    now, names, matrices, block = number, [], [], None
+                if own < 0:
+                    names.append(run.column("query_id"))
+                    matrices.append(_matrix(run.column("embedding")))
+                    continue
+                if block is None:
+                    block = Block(trained, rows, pa.concat_arrays(names), np.concatenate(matrices), count, measured)
+                    names, matrices = [], []
+                for i in range(0, run.num_rows, members_per_block):
+                    some = run.slice(i, members_per_block)
+                    codes = np.frombuffer(b"".join(some.column("code").to_pylist()), dtype=np.uint8)
+                    codes = codes.reshape(some.num_rows, -1)
+                    block.meet(own, some.column("chunk_id"), codes, _matrix(some.column("embedding")))
+        yield from found()
+
+    schema = T.StructType([asked.schema["query_id"], index.members.schema["chunk_id"]])
+    best = stream.mapInArrow(compare, schema)
+    pairs = best.join(asked, "query_id").join(index.vectors.withColumnRenamed("embedding", "_theirs"), "chunk_id")
     gaps = F.zip_with("embedding", "_theirs", lambda a, b: a.cast("double") - b.cast("double"))
     distance = F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x * x)
     return _top_per_query(pairs.select("query_id", "chunk_id", distance.alias("distance")), k)
