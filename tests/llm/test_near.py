@@ -142,3 +142,15 @@ def test_clashing_columns(spark):
     kept = near.first_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect())) == [r for r in rows if r[0] % 2 == 0]
+
+
+def test_texts_not_asked_for_stay(spark, monkeypatch):
+    """Only texts of documents to compare are shuffled while their ids are few; the result is the same."""
+    docs = spark.createDataFrame([(i, t) for i, t in family(30) + [(1000 + i, f"single {i}") for i in range(20)]], "doc_id long, text string")
+    kind = "path long, i int, j int, set binary, a long, b long, copies long, place int, bits binary"
+    asked = spark.createDataFrame([], kind)
+    plan = near.verified(asked, docs, "doc_id", "text", 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
+    few = sorted(map(tuple, near.near_duplicates(docs).collect()))
+    monkeypatch.setattr(near, "KNOWN_IDS", 1)
+    assert sorted(map(tuple, near.near_duplicates(docs).collect())) == few

@@ -49,6 +49,8 @@ BLOCK = BUCKET
 HEAVY = 4_096
 #: Edges up to which one task joins them: steps over one partition need no exchange.
 EDGES_PER_TASK = 1_000_000
+#: Documents to compare up to which their ids (16 bytes each) are sent to the tasks that read the texts.
+KNOWN_IDS = 500_000
 #: Standard deviations by which an embedding must fall short to rule a pair out.
 DEVIATIONS = 5.0
 NO_ID = -(2**63)
@@ -325,7 +327,11 @@ def _shared_counts(sets_of: list[np.ndarray], asked: np.ndarray) -> Iterator[tup
 def verified(asked: DataFrame, docs: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
     """(set, links, root) for each cell: documents linked to the set's members there, and a set of its component."""
     named = asked.withColumnsRenamed({"a": "__a", "b": "__b"})
-    rows = identified(docs, doc_id, text).select("__a", "__b", F.col(text).alias("text")).join(named, ["__a", "__b"])
+    rows = identified(docs, doc_id, text).select("__a", "__b", F.col(text).alias("text"))
+    known = named.select("__a", "__b").distinct()
+    if known.limit(KNOWN_IDS + 1).count() <= KNOWN_IDS:
+        rows = rows.join(F.broadcast(known), ["__a", "__b"], "left_semi")  # no other texts are shuffled
+    rows = rows.join(named, ["__a", "__b"])
     # A document that comes twice must not stand in a cell twice.
     rows = rows.dropDuplicates([*CELL, "set"]).drop("__a", "__b")
 
