@@ -215,3 +215,13 @@ def test_word_encoder_remembers_a_word_once(path):
 def test_word_encoder_white_space(path, space):
     texts = [space, f"{space}a b", f"a b{space}", f"a{space}b c", f"é{space}ö", f"a {space} b"]
     assert WordEncoder(path).encode(texts) == [library_ids(path, t).tobytes() for t in texts]
+
+
+def test_word_encoder_of_a_size():
+    """An operator may have its encoder remember more than others do; the ids are the same."""
+    small, large = WordEncoder(WORD, 50), WordEncoder(WORD, 5_000)
+    texts = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)} x" for i in range(200)]
+    for i in range(0, 200, 10):
+        some = texts[i : i + 10]
+        assert small.encode(some) == large.encode(some) == [library_ids(WORD, t).tobytes() for t in some]
+    assert len(small.known) + len(small.known_before) < 120 < len(large.known)

@@ -34,6 +34,8 @@ MAGIC = b"PFOR"
 #: Ids that are packed at a time, and after which a task opens its next file.
 SEGMENT_IDS = 1 << 20
 FILE_IDS = 1 << 26
+#: Pieces that a worker remembers, of two generations each (about 200 bytes a piece).
+REMEMBERED = 600_000
 #: Documents of a file: their ids and lengths are held until it is closed.
 FILE_DOCS = 1 << 20
 
@@ -134,7 +136,7 @@ def write_token_files(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.of(tokenizer)
+        encoder = WordEncoder.of(tokenizer, REMEMBERED)
         some = (b.slice(i, ENCODE_ROWS) for b in batches for i in range(0, b.num_rows, ENCODE_ROWS))
         source = ((x.column(0).to_pylist(), [e + end for e in encoder.encode(texts(x.column(1)))]) for x in some)
         number = TaskContext.get().partitionId() << 33

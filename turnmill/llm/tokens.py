@@ -50,7 +50,8 @@ class WordEncoder:
     special token, which then parts the pieces of a call.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.remembered = remembered or PIECES + WORDS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,12 +68,12 @@ class WordEncoder:
         self.tails: dict[str, bytes] = {"": b""}
 
     @classmethod
-    def of(cls, path: str) -> WordEncoder:
-        """The worker's own encoder for a tokenizer file."""
+    def of(cls, path: str, remembered: int | None = None) -> WordEncoder:
+        """The worker's own encoder for a tokenizer file, which remembers so many pieces of a generation."""
         store = worker_store("encoders")
-        if path not in store:
-            store[path] = cls(path)
-        return store[path]
+        if (path, remembered) not in store:
+            store[path, remembered] = cls(path, remembered)
+        return store[path, remembered]
 
     @staticmethod
     def spaced(text: str) -> str | None:
@@ -163,7 +164,7 @@ class WordEncoder:
         if new:
             self.learn(new)
         out = list(map(self.known.__getitem__, keys))
-        if len(self.known) > PIECES + WORDS:
+        if len(self.known) > self.remembered:
             self.known, self.known_before = {}, self.known
         return out
 
