@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import tracemalloc
 import zlib
 from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -225,3 +228,47 @@ def test_word_encoder_of_a_size():
         some = texts[i : i + 10]
         assert small.encode(some) == large.encode(some) == [library_ids(WORD, t).tobytes() for t in some]
     assert len(small.known) + len(small.known_before) < 120 < len(large.known)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_encoder_remembers_a_word_without_points(path):
+    """A word with points behind it takes no entry of its own, wherever it stands."""
+    encoder = WordEncoder(path)
+    text = " ".join(["go", *(w + p for w in ("alpha", "beta", "gamma", "naïve") for p in ("", ".", ",", "?!"))])
+    assert encoder.encode([text]) == [library_ids(path, text).tobytes()]
+    assert len(encoder.known) + len(encoder.known_before) == 5
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_encoder_memory(path):
+    """What is remembered takes less than 100 bytes a word, and nothing else is held."""
+    words = ["".join(w) for w in itertools.product("abcdefghijklm", repeat=4)]
+    encoder = WordEncoder(path)
+    encoder.encode(["warm up"])
+    tracemalloc.start()
+    try:
+        before = pa.total_allocated_bytes()
+        for i in range(0, len(words), 5000):
+            encoder.encode([" ".join(words[i : i + 5000])])
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert held < 100 * len(words)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_word_encoder_letters_taken_apart(path):
+    """Letters that the tokenizer turns into a letter and a mark, which goes with points behind it."""
+    texts = ["a İ. b", "x aİ, c İİ?", "\u0958. \ufb2a, a\u0958!"]
+    assert WordEncoder(path).encode(texts) == [library_ids(path, t).tobytes() for t in texts]
+
+
+def test_memory_of_equal_hashes():
+    """Pieces of one hash are told apart."""
+    memory = tokens.Memory(10)
+    one = np.zeros(1, dtype=np.int64)
+    for key in ("a", "b"):
+        column = pa.array([key], pa.large_string())
+        assert memory.find(column, one).tolist() == [-1]
+        memory.add(column, pa.array([key.encode()], pa.large_binary()), one)
+    assert memory.ids.take(pa.array(memory.find(pa.array(["a"], pa.large_string()), one))).to_pylist() == [b"a"]

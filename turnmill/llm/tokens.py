@@ -8,18 +8,17 @@ many texts are one Arrow column: each distinct piece is looked up once, and the
 their ids holds the ids of the texts one after the other.
 
 A piece that is one word of letters, perhaps with points and commas behind it, is put
-together from the ids of both; new words go to the library as one text with blanks between
-them, whose ids are parted where words begin (or end, if the tokenizer marks ends).
+together from the ids of both, and the word alone is remembered; new words go to the library
+as one text with blanks between them, whose ids are parted where words begin (or end, if the
+tokenizer marks ends). What is remembered are Arrow columns, found by sorted hashes: a
+fraction of the memory that a dict of Python objects takes.
 """
 
 from __future__ import annotations
 
-import itertools
-import json
-import operator
 import os
 import re
-from collections.abc import Iterable
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,10 @@ import pyarrow.compute as pc
 
 from turnmill.llm.common import worker_store
 
-#: Pieces, and words in them, that a worker remembers; at their sum it forgets those that it hasn't met for as many others.
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
+#: Pieces, and words, that a worker remembers; at their sum it forgets those that it hasn't met for as many others.
 PIECES = 150_000
 WORDS = 100_000
 #: Texts whose pieces are looked up together, and their characters (a longer text goes alone).
@@ -40,9 +42,69 @@ _PIECE = re.compile(r"\s*\S+|\s+")
 _CONTROLS = ("<|", "\0", "\x1c", "\x1d", "\x1e", "\x1f")
 _ASCII_SPACES = "\t\r\x0b\x0c"
 _POINTS = ".,;:!?"
+#: Letters whose composed or lower-case form is a letter and a mark.
+_UNSTABLE = "[\u0130\u0958-\u095f\u09dc-\u09dd\u09df\u0a33\u0a36\u0a59-\u0a5b\u0a5e\u0b5c-\u0b5d\u0f43\u0f4d\u0f52\u0f57\u0f5c\u0f69\ufb1d\ufb1f\ufb2a-\ufb36\ufb38-\ufb3c\ufb3e\ufb40-\ufb41\ufb43-\ufb44\ufb46-\ufb4e]"
 SEPARATOR = "<|endoftext|>"
 
 
+def _binary(ids: np.ndarray, cuts: np.ndarray) -> pa.LargeBinaryArray:
+    """Runs of 32-bit ids as one column of bytes."""
+    places = np.ascontiguousarray(cuts, dtype=np.int64) * 4
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(ids)])
+
+
+class Memory:
+    """Ids of distinct pieces, in columns; two generations, of which the older one is forgotten.
+
+    A piece is found by its hash among sorted ones and then compared, so equal hashes of
+    different pieces only cost time.
+    """
+
+    def __init__(self, size: int):
+        self.size = size
+        self.keys = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.met = np.zeros(0, dtype=bool)  # in this generation
+        self.hashes = np.zeros(0, dtype=np.int64)
+        self.places = np.zeros(0, dtype=np.int32)
+
+    def find(self, keys: pa.LargeStringArray, hashes: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 if it isn't known."""
+        if not len(self.hashes):
+            return np.full(len(keys), -1, dtype=np.int64)
+        order = np.argsort(hashes)  # neighbours are looked up one after the other
+        at = np.empty(len(keys), dtype=np.int64)
+        at[order] = np.searchsorted(self.hashes, hashes[order])
+        at = np.minimum(at, len(self.hashes) - 1)
+        places = self.places[at].astype(np.int64)
+        near = np.flatnonzero(self.hashes[at] == hashes)
+        same = pc.equal(self.keys.take(pa.array(places[near])), keys.take(pa.array(near)))
+        found = np.full(len(keys), -1, dtype=np.int64)
+        near = near[same.to_numpy(zero_copy_only=False)]
+        found[near] = places[near]
+        self.met[found[near]] = True
+        return found
+
+    def add(self, keys: pa.LargeStringArray, ids: pa.LargeBinaryArray, hashes: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        self.places = np.concatenate([self.places, (len(self.keys) + order).astype(np.int32)])
+        self.hashes = np.concatenate([self.hashes, hashes[order]])
+        merged = np.argsort(self.hashes, kind="stable")  # two sorted runs
+        self.hashes, self.places = self.hashes[merged], self.places[merged]
+        self.keys, self.ids = pa.concat_arrays([self.keys, keys]), pa.concat_arrays([self.ids, ids])
+        self.met = np.concatenate([self.met, np.ones(len(keys), dtype=bool)])
+
+    def forget(self) -> None:
+        """Begins a new generation when this one is full."""
+        if np.count_nonzero(self.met) <= self.size:
+            return
+        keep = pa.array(self.met)
+        left = self.met[self.places]
+        self.hashes, self.places = self.hashes[left], (np.cumsum(self.met) - 1).astype(np.int32)[self.places[left]]
+        self.keys, self.ids = self.keys.filter(keep), self.ids.filter(keep)
+        self.met = np.zeros(len(self.keys), dtype=bool)
+
+
 class WordEncoder:
     """Little-endian unsigned 32-bit ids of texts, as ``Tokenizer.encode(text, add_special_tokens=False)``.
 
@@ -51,7 +113,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, remembered: int | None = None):
-        self.remembered = remembered or PIECES + WORDS
+        self.memory = Memory(remembered or PIECES + WORDS)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,13 +121,33 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        ending = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        ending = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.marks_ends = bool(ending)
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.edge = np.array([t.endswith(ending) if ending else t.startswith("Ġ") for t in tokens])
-        self.known: dict[str, bytes] = {}
-        self.known_before: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
+        self.plain = self._plain(Tokenizer) if self.marks_ends else None
+
+    def _plain(self, kind: type) -> Tokenizer | None:
+        """The same model behind white space alone, for lower-case words of a to z; None if it differs."""
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        plain = kind(self.tokenizer.model)
+        plain.pre_tokenizer = WhitespaceSplit()
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        words = " ".join(["", *(a + b for a in letters for b in letters), letters, letters[::-1]])
+        ids = plain.encode_batch_fast([words], add_special_tokens=False)[0].ids
+        return plain if ids == self._ids(words).tolist() else None
+
+    @property
+    def known(self) -> pa.LargeStringArray:
+        """What has been met in this generation."""
+        return self.memory.keys.filter(pa.array(self.memory.met))
+
+    @property
+    def known_before(self) -> pa.LargeStringArray:
+        """What is remembered of the generation before and hasn't been met again."""
+        return self.memory.keys.filter(pa.array(~self.memory.met))
 
     @classmethod
     def of(cls, path: str, remembered: int | None = None) -> WordEncoder:
@@ -99,25 +181,28 @@ class WordEncoder:
     def piece(key: str) -> str:
         return key[1:] if key[0] == "\0" else key if key[0].isspace() else " " + key
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    @staticmethod
+    def letters(words: pa.LargeStringArray) -> pa.BooleanArray:
+        """Whether a word holds nothing but letters, also when the tokenizer has composed and lower-cased it."""
+        return pc.and_not(pc.utf8_is_alpha(words), pc.match_substring_regex(words, _UNSTABLE))
+
+    def _ids(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
+        found = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, dtype="<u4")
 
-    def _parted(self, pieces: list[str]) -> list[bytes]:
+    def _parted(self, pieces: list[str]) -> pa.LargeBinaryArray:
         """Ids of each piece of text, from one call."""
         ids = self._ids(SEPARATOR.join(pieces))
-        ends = [*np.flatnonzero(ids == self.separator).tolist(), len(ids)]
-        raw, starts = ids.tobytes(), [0, *[e + 1 for e in ends[:-1]]]
-        return [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+        ends = np.append(np.flatnonzero(ids == self.separator), len(ids))
+        return _binary(ids[ids != self.separator], np.append(0, ends - np.arange(len(ends))))
 
-    def _new_words(self, words: list[str]) -> list[bytes]:
+    def _new_words(self, words: list[str], tokenizer: Tokenizer | None = None) -> pa.LargeBinaryArray:
         """Ids of words of letters, each behind a blank."""
-        ids = self._ids(" " + " ".join(words))
+        ids = self._ids(" " + " ".join(words), tokenizer)
         at = np.flatnonzero(self.edge[ids])
         if len(at) != len(words):  # a letter that the tokenizer takes apart
             return self._parted([" " + w for w in words])
-        cuts = [0, *(at + 1).tolist()] if self.marks_ends else [*at.tolist(), len(ids)]
-        raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return _binary(ids, np.append(0, at + 1) if self.marks_ends else np.append(at, len(ids)))
 
     def _tail(self, points: str) -> bytes:
         if points not in self.tails:
@@ -126,46 +211,56 @@ class WordEncoder:
             self.tails[points] = self._ids(points).tobytes()
         return self.tails[points]
 
-    def _unknown(self, keys: Iterable[str]) -> list[str]:
-        """Those of distinct keys that aren't known; what the generation before knew moves up."""
-        known, before = self.known, self.known_before
-        missing = [k for k in keys if k not in known]
-        new = [k for k in missing if k not in before]
-        if len(new) < len(missing):
-            known.update((k, before[k]) for k in missing if k in before)
-        return new
-
-    def learn(self, keys: list[str]) -> None:
-        """Ids of new pieces; the words in them are remembered as pieces of their own."""
+    def _learned(self, keys: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of new words and other pieces."""
+        alone = self.letters(keys)
+        simple = pc.and_(alone, pc.and_(pc.string_is_ascii(keys), self.plain is not None))
+        kinds = [
+            (simple, lambda some: self._new_words(some, self.plain)),
+            (pc.and_not(alone, simple), self._new_words),
+            (pc.invert(alone), lambda some: self._parted(list(map(self.piece, some)))),
+        ]
+        out, order = [], []
+        for kind, ids in kinds:
+            at = np.flatnonzero(kind.to_numpy(zero_copy_only=False))
+            some = keys.take(pa.array(at)).to_pylist()
+            out += [ids(some[i : i + TOGETHER]) for i in range(0, len(some), TOGETHER)]
+            order.append(at)
+        return pa.concat_arrays(out).take(pa.array(np.argsort(np.concatenate(order))))
+
+    def _found(self, keys: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct pieces: those of the word in it, or of the whole piece, and of the points behind."""
         # Where ends are marked, white space before a word makes no difference.
-        bare = [k.lstrip("\0\n") for k in keys] if self.marks_ends else keys
-        words = [b.rstrip(_POINTS) for b in bare]
-        alone = [w.isalpha() for w in words]
-        other = list(itertools.compress(keys, map(operator.not_, alone)))
-        for i in range(0, len(other), TOGETHER):
-            some = other[i : i + TOGETHER]
-            self.known.update(zip(some, self._parted(list(map(self.piece, some))), strict=True))
+        bare = pc.utf8_ltrim(keys, "\0\n") if self.marks_ends else keys
+        words = pc.utf8_rtrim(bare, _POINTS)
+        alone = self.letters(words)
+        pointed = pc.and_(alone, pc.less(pc.binary_length(words), pc.binary_length(bare)))
         if self.marks_ends:
-            words = [w.lower() if w.isascii() else w for w in words]
-        new = self._unknown(set(itertools.compress(words, alone)))
-        for i in range(0, len(new), TOGETHER):
-            some = new[i : i + TOGETHER]
-            self.known.update(zip(some, self._new_words(some), strict=True))
-        known, tail = self.known, self._tail
-        for key, whole, word in itertools.compress(zip(keys, bare, words, strict=True), alone):
-            if len(whole) > len(word):
-                known[key] = known[word] + tail(whole[len(word) :])
-            elif key is not word:
-                known[key] = known[word]
-
-    def _found(self, keys: list[str]) -> list[bytes]:
-        """Ids of distinct pieces."""
-        new = self._unknown(keys)
-        if new:
-            self.learn(new)
-        out = list(map(self.known.__getitem__, keys))
-        if len(self.known) > self.remembered:
-            self.known, self.known_before = {}, self.known
+            words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        whole = pc.if_else(alone, words, keys).dictionary_encode()
+        known = self._remembered(whole.dictionary).take(whole.indices)
+        behind = np.flatnonzero(pointed.to_numpy(zero_copy_only=False))
+        if not len(behind):
+            return known
+        points = pc.struct_field(pc.extract_regex(bare.take(pa.array(behind)), f"(?P<points>[{_POINTS}]+)$"), "points")
+        points = points.dictionary_encode()
+        tails = pa.array([b"", *map(self._tail, points.dictionary.to_pylist())], pa.large_binary())
+        which = np.zeros(len(keys), dtype=np.int64)
+        which[behind] = points.indices.to_numpy() + 1
+        return pc.binary_join_element_wise(known, tails.take(pa.array(which)), pa.scalar(b"", pa.large_binary()))
+
+    def _remembered(self, keys: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words and other pieces; new ones are learned, all count as met."""
+        memory = self.memory
+        hashes = np.fromiter(map(hash, keys.to_numpy(zero_copy_only=False)), np.int64, len(keys))
+        places = memory.find(keys, hashes)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = np.arange(len(memory.keys), len(memory.keys) + len(new))
+            unknown = keys.take(pa.array(new))
+            memory.add(unknown, self._learned(unknown), hashes[new])
+        out = memory.ids.take(pa.array(places))
+        memory.forget()
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -176,7 +271,9 @@ class WordEncoder:
                 out += self._together(texts[start:i])
                 start, size = i, 0
             size += len(text)
-        return out + self._together(texts[start:])
+        out += self._together(texts[start:])
+        pa.default_memory_pool().release_unused()  # the columns of a call are large, what is remembered is not
+        return out
 
     def _together(self, texts: list[str]) -> list[bytes]:
         """Ids of texts whose pieces are one column."""
@@ -199,7 +296,7 @@ class WordEncoder:
         more = pa.array([k for keys in cuts for k in keys], pa.large_string())
         sizes = np.concatenate([np.diff(parts.offsets.to_numpy()), np.array([len(k) for k in cuts], dtype=np.int64)])
         pieces = pa.concat_arrays([parts.flatten(), more]).dictionary_encode()
-        ids = pa.array(self._found(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(pieces.indices)
+        ids = self._found(pieces.dictionary).take(pieces.indices)
         # The values of a binary column stand one after the other: a text's ids are one slice.
         _, places, raw = ids.buffers()
         ends = np.frombuffer(places, dtype=np.int64, count=len(ids) + 1)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
