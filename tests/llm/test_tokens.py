@@ -272,3 +272,19 @@ def test_memory_of_equal_hashes():
         assert memory.find(column, one).tolist() == [-1]
         memory.add(column, pa.array([key.encode()], pa.large_binary()), one)
     assert memory.ids.take(pa.array(memory.find(pa.array(["a"], pa.large_string()), one))).to_pylist() == [b"a"]
+
+
+def test_worker_store_gives_memory_back():
+    """What a store held goes back to the system, also from below memory that is still in use."""
+
+    def resident() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    store = worker_store("test-large")
+    store["x"] = [bytes(2000) for _ in range(50_000)]
+    pin = bytes(2000)
+    held = resident()
+    del store
+    assert worker_store("test-next") == {}
+    assert held - resident() > 80_000_000 and pin
