@@ -169,3 +169,80 @@ def test_ivf_of_repeated_rows(spark):
     found = ivf.search(ivf.build(members), asked, k=2, queries_per_block=1).collect()
     assert {(r.query_id, r.chunk_id) for r in found} == {(i, f"c{i}") for i in range(5)}
     assert {r["rank"] for r in found} == {1, 2} and len(found) == 10
+
+
+def block_against_all(points, asked, n_lists, probes, measured, k):
+    """What a block finds, and the k nearest of the best codes of the visited lists, sorted at once."""
+    lists = ivf.train(points, n_lists)
+    own = lists.list_of(points)
+    codes = lists.codes(points - lists.centres[own])
+    rows = np.bincount(own, minlength=len(lists.centres))
+    block = ivf.Block(lists, rows, pa.array(range(len(asked))), asked, probes, measured)
+    met = np.argsort(own, kind="stable")
+    want = []
+    for i, seen in enumerate(ivf._visits(lists, rows, asked, probes, measured)):
+        mine = met[seen[own[met]]]
+        gap = asked[i] - lists.centres[own[mine]] - lists.coded(codes[mine])
+        best = mine[np.argsort(np.cumsum(gap * gap, axis=1)[:, -1].astype(np.float32), kind="stable")[:measured]]
+        exact = ((points[best] - asked[i]) ** 2).sum(axis=1)
+        want += [(i, int(c)) for c in best[np.lexsort((best, exact))[:k]]]
+    for l in range(len(rows)):
+        mine = met[own[met] == l]
+        for some in (mine[:90], mine[90:]):
+            if len(some):
+                block.meet(l, pa.array(some), codes[some], points[some])
+    names, ids = block.nearest(k)
+    return set(zip(names.to_pylist(), ids.to_pylist())), set(want)
+
+
+@pytest.mark.parametrize("away", [0.0, 1e4])
+def test_ivf_measures_few_codes(monkeypatch, away):
+    """Codes are ruled out by products of matrices, not measured piece by piece; far from the origin, too."""
+    finds, hold = [], ivf.Block._hold
+
+    def counted(self, row, *rest):
+        finds.append(len(row))
+        hold(self, row, *rest)
+
+    def refused(*_):
+        raise AssertionError("every code of a list is measured")
+
+    monkeypatch.setattr(ivf.Lists, "rough", refused)
+    monkeypatch.setattr(ivf.Block, "_hold", counted)
+    points = away + np.random.default_rng(6).standard_normal((6000, 16))
+    got, want = block_against_all(points, points[:200] + 0.01, 40, 40, 20, 5)
+    assert len(want) == 1000 and len(got & want) >= 998
+    assert sum(finds) < 200 * 6000 * 0.05
+
+
+def test_ivf_of_one_hot_vector(monkeypatch):
+    """Of equal codes a list has, only those met first are measured."""
+    finds, hold = [], ivf.Block._hold
+
+    def counted(self, row, *rest):
+        finds.append(len(row))
+        hold(self, row, *rest)
+
+    monkeypatch.setattr(ivf.Block, "_hold", counted)
+    rng = np.random.default_rng(7)
+    points = rng.standard_normal((4000, 12))
+    points[rng.random(4000) < 0.5] = points[3]
+    hot = np.flatnonzero((points == points[3]).all(axis=1))
+    asked = np.concatenate([points[hot[:50]], points[-50:]])
+    got, want = block_against_all(points, asked, 30, 10, 25, 5)
+    assert got == want
+    assert {c for q, c in got if q < 50} == set(hot[:5].tolist())
+    assert sum(finds) < 100 * 1000
+
+
+def test_ivf_places():
+    rng = np.random.default_rng(8)
+    for shape in ((3, 5), (8, 16), (1, 7), (4, 33)):
+        mask = rng.random(shape) < 0.2
+        assert all((a == b).all() for a, b in zip(ivf._where(mask), np.nonzero(mask), strict=True))
+    codes = rng.integers(0, 2, (200, 3)).astype(np.uint8)
+    order, begins, counts = ivf._distinct(codes, 4)
+    for b, n in zip(begins, counts, strict=True):
+        assert order[b : b + n].tolist() == np.flatnonzero((codes == codes[order[b]]).all(axis=1))[:4].tolist()
+    assert len(begins) == len(np.unique(codes, axis=0)) and counts.sum() == len(order)
+    assert ivf._distinct(np.arange(40, dtype=np.uint8).reshape(20, 2), 4) is None

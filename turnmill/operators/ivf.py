@@ -34,9 +34,11 @@ MOST_LISTS = 65_536
 #: Sampled vectors that ask for their neighbours in the sample.
 ASKED = 256
 RECALL = 0.97
-#: Pairs of queries and codes measured at a time, and finds after which a block keeps only its best.
+#: Pairs of queries and codes measured at a time, and ids met after which a block keeps only those of its finds.
 PAIRS = 500_000
 HELD = 500_000
+#: Finds measured exactly at a time.
+FINDS = 512
 #: Queries times lists of one block.
 MARKS = 32_000_000
 
@@ -107,6 +109,10 @@ class Lists:
             out[:, p] = _nearest_row(residuals[:, self.edges[p] : self.edges[p + 1]], book)
         return out
 
+    def coded(self, codes: np.ndarray) -> np.ndarray:
+        """The residuals that codes stand for."""
+        return np.concatenate([book[codes[:, p]] for p, book in enumerate(self.pieces)], axis=1)
+
     def rough(self, residuals: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Squared distances of query residuals to coded ones (queries, codes)."""
         total = np.zeros((len(residuals), len(codes)), dtype=np.float32)
@@ -232,70 +238,147 @@ def visited(index: Index, queries: DataFrame, probes: int | None = None, least:
     return asked.mapInArrow(choose, schema)
 
 
+def _distinct(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Where equal codes stand: an order that lists those of a kind in a row, at most the ``most``
+    first ones, the place of each kind in it, and how many it has; None if all codes differ."""
+    words = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), dtype=np.uint8)
+    words[:, : codes.shape[1]] = codes
+    words = words.view(np.uint64)
+    order = np.lexsort(words.T)
+    first = np.append(True, (words[order[1:]] != words[order[:-1]]).any(axis=1))
+    if first.all():
+        return None
+    starts = np.flatnonzero(first)
+    few = np.arange(len(order)) - starts[np.cumsum(first) - 1] < most
+    counts = np.add.reduceat(few, starts, dtype=np.int64)
+    return order[few], np.cumsum(counts) - counts, counts
+
+
+def _where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a matrix with few hits, eight places at a time."""
+    flat = mask.reshape(-1)
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    word, place = np.nonzero(flat[:whole].reshape(-1, 8)[words])
+    at = np.concatenate([words[word] * 8 + place, whole + np.flatnonzero(flat[whole:])])
+    return np.divmod(at, mask.shape[1])
+
+
 class Block:
     """Queries that meet the lists they visit one after the other.
 
     For each query the ``measured`` best codes so far are held (of equal ones those met first),
-    with their exact distances, so neither the codes nor the vectors met have to be.
+    with their exact distances, so neither the codes nor the vectors met have to be. Products of
+    matrices in single precision tell which codes may be among them; only those are measured.
     """
 
     def __init__(self, lists: Lists, rows: np.ndarray, names: pa.Array, vectors: np.ndarray, probes: int, measured: int):
         self.lists, self.names, self.vectors, self.measured = lists, names, vectors, measured
         self.seen = _visits(lists, rows, vectors, probes, measured)
+        # Of each query the best in order, then finds since; what is over ``limit`` is none.
+        places = (len(vectors), measured + max(1, measured // 2))
         self.limit = np.full(len(vectors), np.inf, dtype=np.float32)
-        self.best = (np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), np.empty(0))
-        self.new: list[tuple[np.ndarray, ...]] = []
-        self.held = 0
+        self.filled = np.zeros(len(vectors), dtype=np.int64)
+        self.rough = np.full(places, np.inf, dtype=np.float32)
+        self.at, self.exact = np.zeros(places, dtype=np.int64), np.zeros(places)
         self.ids: list[pa.Array] = []
-        self.met = 0
+        self.met = self.kept = 0
 
     def meet(self, own: int, ids: pa.Array, codes: np.ndarray, vectors: np.ndarray) -> None:
         rows = np.flatnonzero(self.seen[:, own])
         if not len(rows):
             return
-        tile = max(1, PAIRS // max(len(codes), 256))
+        same = _distinct(codes, self.measured)
+        book = self.lists.coded(codes if same is None else codes[same[0][same[1]]])
+        tile = max(1, PAIRS // max(len(book), 256))
         for start in range(0, len(rows), tile):
             some = rows[start : start + tile]
-            rough = self.lists.rough(self.vectors[some] - self.lists.centres[own], codes)
-            row, col = np.nonzero(rough < self.limit[some, None])
-            if len(row) > self.measured * len(some):
-                col = np.argsort(rough, axis=1, kind="stable")[:, : self.measured]
-                row, col = np.repeat(np.arange(len(some)), col.shape[1]), col.ravel()
-                near = rough[row, col] < self.limit[some[row]]
-                row, col = row[near], col[near]
-            if not len(row):
-                continue
+            left = self.vectors[some] - self.lists.centres[own]
+            row, col, rough = self._below(left, book, self.limit[some])
+            if same is not None:  # all of a code, in the order they were met in
+                order, begins, counts = same
+                many = counts[col]
+                place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - begins[col], many)
+                row, rough, col = np.repeat(row, many), np.repeat(rough, many), order[place]
+                by_row = np.argsort(row * len(codes) + col, kind="stable")
+                row, rough, col = row[by_row], rough[by_row], col[by_row]
             exact = np.empty(len(row))
-            for i in range(0, len(row), 10_000):
-                gap = self.vectors[some[row[i : i + 10_000]]] - vectors[col[i : i + 10_000]]
-                exact[i : i + 10_000] = np.cumsum(gap * gap, axis=1)[:, -1]
-            self.new.append((some[row], rough[row, col], self.met + col, exact))
-            self.held += len(row)
+            for i in range(0, len(row), FINDS):
+                gap = self.vectors[some[row[i : i + FINDS]]] - vectors[col[i : i + FINDS]]
+                gap *= gap
+                # Dimension by dimension, as Spark adds them up.
+                exact[i : i + FINDS] = np.add.reduce(np.ascontiguousarray(gap.T), axis=0)
+            self._hold(some[row], rough, self.met + col, exact)
         self.ids.append(ids)
         self.met += len(ids)
-        if self.held >= max(HELD, len(self.names) * self.measured // 2):
-            self.keep()
-
-    def keep(self) -> None:
-        """Only the best are held on, and of the ids only theirs."""
-        row, rough, at, exact = (np.concatenate(x) for x in zip(self.best, *self.new, strict=True))
-        order = np.lexsort((at, rough, row))
-        row, rough, at, exact = row[order], rough[order], at[order], exact[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        last = place == self.measured - 1
-        self.limit[row[last]] = rough[last]
-        near = place < self.measured
-        used, at = np.unique(at[near], return_inverse=True)
-        if self.ids:
-            self.ids = [pa.concat_arrays(self.ids).take(pa.array(used))]
-        self.best, self.new, self.held, self.met = (row[near], rough[near], at, exact[near]), [], 0, len(used)
+        if self.met - self.kept >= max(HELD, len(self.names) * self.measured // 2):
+            self._forget()
+
+    def _below(self, left: np.ndarray, book: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, code, squared distance) by row and code where it is below the row's limit.
+
+        Only the ``measured`` nearest of a row have to be found, and those of equal distance.
+        """
+        squares = (book * book).sum(axis=1)
+        own = (left * left).sum(axis=1)
+        left = np.append(left, np.ones((len(left), 1)), axis=1).astype(np.float32)
+        book = np.append(book, -0.5 * squares[:, None], axis=1).astype(np.float32)
+        close = left @ book.T  # half of what is near: greater is nearer
+        # Twice what rounding may do to a product or to a distance measured in single precision.
+        slack = (book.shape[1] + 16) * float(np.finfo(np.float32).eps) * (np.sqrt(own) + np.sqrt(squares.max())) ** 2
+        least = 0.5 * (own - limit) - slack
+        if close.shape[1] > self.measured and np.isinf(limit).any():
+            open_ = np.flatnonzero(np.isinf(limit))
+            last = close.shape[1] - self.measured
+            least[open_] = np.partition(close[open_], last, axis=1)[:, last] - 2 * slack[open_]
+        row, col = _where(~(close <= np.nextafter(least.astype(np.float32), np.float32(-np.inf))[:, None]))
+        rough = np.empty(len(row), dtype=np.float32)
+        for i in range(0, len(row), FINDS):
+            gap = left[row[i : i + FINDS], :-1] - book[col[i : i + FINDS], :-1]
+            rough[i : i + FINDS] = np.einsum("ij,ij->i", gap, gap)
+        near = rough < limit[row]
+        return row[near], col[near], rough[near]
+
+    def _hold(self, row: np.ndarray, rough: np.ndarray, at: np.ndarray, exact: np.ndarray) -> None:
+        """Finds, by row, go behind what the rows hold; full rows keep only their best first."""
+        while len(row):
+            place = self.filled[row] + np.arange(len(row)) - np.searchsorted(row, row)
+            fits = place < self.rough.shape[1]
+            own, place = row[fits], place[fits]
+            self.rough[own, place], self.at[own, place], self.exact[own, place] = rough[fits], at[fits], exact[fits]
+            np.maximum.at(self.filled, own, place + 1)
+            if len(own) == len(row):
+                return
+            row, rough, at, exact = row[~fits], rough[~fits], at[~fits], exact[~fits]
+            self._trim(np.unique(row))
+            near = rough < self.limit[row]
+            row, rough, at, exact = row[near], rough[near], at[near], exact[near]
+
+    def _trim(self, rows: np.ndarray) -> None:
+        best = np.argsort(self.rough[rows], axis=1, kind="stable")[:, : self.measured]
+        for held in (self.rough, self.at, self.exact):
+            held[rows, : self.measured] = np.take_along_axis(held[rows], best, axis=1)
+        self.rough[rows, self.measured :] = np.inf
+        self.filled[rows] = np.minimum(self.filled[rows], self.measured)
+        self.limit[rows] = self.rough[rows, self.measured - 1]
+
+    def _forget(self) -> None:
+        """Of the ids met only those of finds are held on."""
+        taken = np.arange(self.at.shape[1]) < self.filled[:, None]
+        used, self.at[taken] = np.unique(self.at[taken], return_inverse=True)
+        self.ids = [pa.concat_arrays(self.ids).take(pa.array(used))] if self.ids else []
+        self.met = self.kept = len(used)
 
     def nearest(self, k: int) -> tuple[pa.Array, pa.Array] | None:
         """The names of queries and the ids of the k nearest by exact distance."""
-        self.keep()
-        row, _, at, exact = self.best
+        tile = 4_096
+        for start in range(0, len(self.vectors), tile):
+            self._trim(np.arange(start, min(start + tile, len(self.vectors))))
+        self._forget()
+        row, place = np.nonzero(np.arange(self.at.shape[1]) < self.filled[:, None])
         if not len(row):
             return None
+        at, exact = self.at[row, place], self.exact[row, place]
         order = np.lexsort((exact, row))
         row, at, exact = row[order], at[order], exact[order]
         first = np.searchsorted(row, row)
