@@ -246,3 +246,22 @@ def test_ivf_places():
         assert order[b : b + n].tolist() == np.flatnonzero((codes == codes[order[b]]).all(axis=1))[:4].tolist()
     assert len(begins) == len(np.unique(codes, axis=0)) and counts.sum() == len(order)
     assert ivf._distinct(np.arange(40, dtype=np.uint8).reshape(20, 2), 4) is None
+
+
+def test_ivf_block_measures_no_whole_list(monkeypatch):
+    """A block meets its lists without the table of every query and code."""
+
+    def refused(*_):
+        raise AssertionError("every code of a list is measured")
+
+    points = np.random.default_rng(9).standard_normal((900, 8))
+    lists = ivf.train(points, 10)
+    own = lists.list_of(points)
+    rows = np.bincount(own, minlength=len(lists.centres))
+    monkeypatch.setattr(ivf.Lists, "rough", refused)
+    block = ivf.Block(lists, rows, pa.array(range(50)), points[:50], len(rows), 30)
+    for l in np.flatnonzero(rows):
+        mine = np.flatnonzero(own == l)
+        block.meet(l, pa.array(mine), lists.codes(points[mine] - lists.centres[l]), points[mine])
+    names, ids = block.nearest(1)
+    assert names.to_pylist() == ids.to_pylist() == list(range(50))
